@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import HashOrder
+from ..functions import HashOrder, finite_or_null
 from ..operators import alignment, decisions, evaluation, fairness, models, sampling
 from ..operators.models import FittedModel, ModelSpec
 from ..session import materialize
@@ -124,5 +124,5 @@ def flagship(application: DataFrame, bureau: DataFrame) -> DataFrame:
     return joined.groupBy("EXT_SOURCE_MEAN_BIN").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(names.LABEL).alias("default_rate"),
-        F.avg("BUREAU_DEBT_CREDIT_RATIO").alias("mean_debt_credit_ratio"),
+        F.avg(finite_or_null("BUREAU_DEBT_CREDIT_RATIO")).alias("mean_debt_credit_ratio"),
     )
