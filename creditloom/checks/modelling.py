@@ -1 +1,175 @@
-"""Placeholder."""
+"""Classifiers on the joined feature tables. Tree counts are small here; the specs take any."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import explanation, models, sampling
+from ..plans import candidates, end_to_end
+from ..plans import loan_columns as names
+from ..plans.history import HISTORIES
+from ..session import materialize
+from ..sources import score_table
+from .fixtures import children, fixture
+from .registry import ORDER, SEED, check, settle
+from .sql import check_sql, settled_select
+
+Y, KEY = names.LABEL, names.KEY
+_FOLDS = 3
+_ITER = 50
+_TREES, _ROUNDS, _DEPTH = 10, 5, 3
+_SIDE_BY_SIDE = 4
+
+
+def _tables(spark, sf) -> end_to_end.FeatureTables:
+    return end_to_end.feature_tables(
+        fixture(spark, sf, "train"), fixture(spark, sf, "test"), children(spark, sf)
+    )
+
+
+def _folded(spark, sf, history: bool = True) -> DataFrame:
+    """The joined training table with its fold, written once for the many passes over it."""
+    table = _tables(spark, sf).train
+    if not history:
+        added = {s.prefix + c for s in HISTORIES.values() for c in (*s.measures, *s.ratios)}
+        table = table.drop(*added)
+    return materialize(sampling.stratified_folds(table, Y, _FOLDS, KEY, SEED, ORDER), "features")
+
+
+def _compare(df: DataFrame, specs: list[models.ModelSpec]) -> DataFrame:
+    return models.cross_validate(df, specs, Y, KEY, _FOLDS, parallelism=_SIDE_BY_SIDE)
+
+
+def _small(columns: list[str]) -> dict[str, models.ModelSpec]:
+    found = candidates.candidates(columns, _TREES, _ROUNDS, _DEPTH, _ITER)
+    return {s.name: s for s in [*candidates.baselines(_ITER), *found]}
+
+
+@check(
+    "l1_majority",
+    check_sql(
+        settled_select("m", ["mean_auc", "std_auc", "mean_accuracy"], ["model", "folds"]),
+        f="SELECT fold, avg(CASE WHEN TARGET=0 THEN 1.0 ELSE 0.0 END) AS acc FROM folds GROUP BY fold",
+        m="SELECT 'majority' AS model, CAST(0.5 AS DOUBLE) AS mean_auc, CAST(0 AS DOUBLE) AS std_auc, "
+        "count(*) AS folds, avg(acc)::DOUBLE AS mean_accuracy FROM f",
+    ),
+)
+def majority(spark, sf):
+    table = fixture(spark, sf, "application").select(KEY, Y)
+    folded = sampling.stratified_folds(table, Y, _FOLDS, KEY, SEED, ORDER)
+    return settle(_compare(folded, candidates.baselines()[:1]))
+
+
+def _one(name: str):
+    def query(spark, sf):
+        table = _folded(spark, sf)
+        return _compare(table, [_small(table.columns)[name]])
+
+    return query
+
+
+check("l2_lr_small")(_one("lr_external"))
+check("l3_lr_full")(_one("lr_full"))
+check("l4_lr_engineered")(_one("lr_engineered"))
+check("l5_rf")(_one("random_forest"))
+check("l6_gbt")(_one("boosted"))
+
+
+@check("l7_gbt_tuned")
+def boosted_tuned(spark, sf):
+    return _compare(_folded(spark, sf), [candidates.tuned(_ROUNDS, _DEPTH)])
+
+
+@check("l8_cv")
+def cross_validation(spark, sf):
+    table = _folded(spark, sf)
+    specs = _small(table.columns)
+    return _compare(table, [specs[n] for n in ("majority", "lr_external", "lr_engineered")])
+
+
+@check("l9_oof")
+def out_of_fold(spark, sf):
+    table = _folded(spark, sf)
+    spec = _small(table.columns)["lr_external"]
+    return models.out_of_fold(table, [spec], Y, KEY, _FOLDS, keep=names.PROTECTED, parallelism=_SIDE_BY_SIDE)
+
+
+@check("l10_random_search")
+def random_search(spark, sf):
+    return models.random_search(
+        _folded(spark, sf, history=False),
+        {**names.SEARCH_SPACE, "max_depth": ("int", 2, 4)},
+        Y,
+        KEY,
+        _FOLDS,
+        n_iter=3,
+        seed=SEED,
+        max_rounds=_ROUNDS,
+        parallelism=_SIDE_BY_SIDE,
+    )
+
+
+@check("l11_imbalance")
+def imbalance(spark, sf):
+    specs = candidates.imbalance_strategies(_ROUNDS, _DEPTH, SEED, ORDER)
+    return _compare(_folded(spark, sf, history=False), specs)
+
+
+@check("l12_ablation")
+def ablation(spark, sf):
+    table = _folded(spark, sf)
+    spec = candidates.tuned(_ROUNDS, _DEPTH)
+    added = {s.prefix + c for s in HISTORIES.values() for c in (*s.measures, *s.ratios)}
+    features = [c for c in table.columns if c not in {KEY, Y, "fold"}]
+    without = [c for c in features if c not in added]
+    return _compare(
+        table,
+        [
+            models.renamed(spec, "application_only", without),
+            models.renamed(spec, "with_history", features),
+        ],
+    )
+
+
+@check("t2_top_features")
+def top_features(spark, sf):
+    train = _folded(spark, sf).drop("fold")
+    return models.fit_model(candidates.tuned(_ROUNDS, _DEPTH), train, Y, KEY).top_features(spark, 25)
+
+
+@check("s4_submission")
+def submission(spark, sf):
+    tables = _tables(spark, sf)
+    spec = _small(tables.train.columns)["lr_external"]
+    model = models.fit_model(spec, materialize(tables.train, "features"), Y, KEY)
+    return score_table(model.score(tables.test, [KEY]), KEY, "SCORE", Y)
+
+
+def _sampled(spark, sf, name: str, n: int) -> tuple[models.FittedModel, DataFrame]:
+    train = _folded(spark, sf).drop("fold")
+    model = models.fit_model(_small(train.columns)[name], train, Y, KEY)
+    return model, model.preprocessor.encode(sampling.sample_n(train, n, KEY, SEED, ORDER), [KEY])
+
+
+@check("x1_global_importance")
+def global_importance(spark, sf):
+    model, rows = _sampled(spark, sf, "lr_full", 1_000)
+    features = model.preprocessor.feature_names
+    weights = dict(zip(features, map(float, model.classifier.coefficients)))
+    wide = rows.select(KEY, *[F.col("x")[i].alias(f) for i, f in enumerate(features)])
+    means = wide.agg(*[F.avg(f).alias(f) for f in features]).first().asDict()
+    phi = explanation.linear_attributions(wide, weights, means)
+    return explanation.mean_abs_attribution(phi, {f: f"PHI_{f}" for f in features}, 20)
+
+
+@check("x3_sampled_shapley")
+def shapley(spark, sf):
+    model, rows = _sampled(spark, sf, "boosted", 1_000)
+    features = model.preprocessor.feature_names
+    best = [r["feature"] for r in model.top_features(spark, 8).collect()]
+    # Standardised numbers have mean 0; a category code starts from the first category.
+    baseline = [0.0] * len(features)
+    return explanation.sampled_shapley(
+        rows, KEY, "x", features, baseline, lambda df: model.score_encoded(df, "score"), 4, SEED, best
+    )
