@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import finite_or_null
+from ..functions import finite_or_null, with_exprs
 from ..operators import decisions, evaluation, explanation, fairness, ranking, sampling
 from ..plans import application as app
 from ..plans import loan_columns as names
@@ -87,7 +87,7 @@ def auc(spark, sf):
 )
 def roc(spark, sf):
     points = evaluation.roc_curve(_scored(spark, sf), Y, S)
-    return points.withColumn("threshold", finite_or_null("threshold"))
+    return with_exprs(points, {"threshold": finite_or_null("threshold")})
 
 
 @check("k5_confusion", check_sql(_AT_CHOSEN))
@@ -345,9 +345,8 @@ def _reasons_sql() -> dict[str, str]:
 def adverse_actions(spark, sf):
     table = app.engineer_features(app.clean_application(fixture(spark, sf, "application")))
     found = children(spark, sf)
-    joined = join_histories(
-        table, {t: found[t] for t in ("bureau", "previous_application", "installments")}
-    ).withColumns({c: finite_or_null(c) for c in _REASON_WEIGHTS})
+    joined = join_histories(table, {t: found[t] for t in ("bureau", "previous_application", "installments")})
+    joined = with_exprs(joined, {c: finite_or_null(c) for c in _REASON_WEIGHTS})
     phi = explanation.linear_attributions(
         joined,
         {c: w for c, (w, _) in _REASON_WEIGHTS.items()},

@@ -55,7 +55,7 @@ def _all(spark, sf) -> DataFrame:
 @check("m1_median_impute", check_sql(f"SELECT SK_ID_CURR, {_IMPUTED} FROM application", fit=_FIT, med=_MEDIANS))
 def median_impute(spark, sf):
     medians = encoding.fit_imputer(_fit(spark, sf), _NUMBERS)
-    return _all(spark, sf).select(KEY, *[encoding.imputed(c, m).alias(c) for c, m in medians.items()])
+    return _all(spark, sf).selectExpr(KEY, *[f"{encoding.imputed(c, m)} AS {c}" for c, m in medians.items()])
 
 
 @check(
@@ -67,7 +67,9 @@ def standardize(spark, sf):
     medians = encoding.fit_imputer(train, _NUMBERS)
     values = {c: encoding.imputed(c, m) for c, m in medians.items()}
     fitted = encoding.fit_scaler(train, values)
-    return settle(_all(spark, sf).select(KEY, *[encoding.scaled(values[c], *fitted[c]).alias(c) for c in _NUMBERS]))
+    return settle(
+        _all(spark, sf).selectExpr(KEY, *[f"{encoding.scaled(values[c], *fitted[c])} AS {c}" for c in _NUMBERS])
+    )
 
 
 @check("m3_mode_impute", check_sql(f"SELECT SK_ID_CURR, {_FILLED} FROM application", fit=_FIT))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import with_exprs
 from ..operators.joins import history_coverage, join_features
 from ..plans import end_to_end
 from ..plans import loan_columns as names
@@ -46,7 +47,7 @@ _register("g9_credit_card", "credit_card", True)
 )
 def installment_rows(spark, sf):
     metrics = HISTORIES["installments"].row_metrics
-    table = fixture(spark, sf, "installments").withColumns({c: build() for c, build in metrics.items()})
+    table = with_exprs(fixture(spark, sf, "installments"), metrics)
     return settle(table.select(names.KEY, "DAYS_INSTALMENT", *metrics))
 
 

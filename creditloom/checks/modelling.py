@@ -22,19 +22,15 @@ _TREES, _ROUNDS, _DEPTH = 10, 5, 3
 _SIDE_BY_SIDE = 4
 
 
-def _tables(spark, sf) -> end_to_end.FeatureTables:
-    return end_to_end.feature_tables(
-        fixture(spark, sf, "train"), fixture(spark, sf, "test"), children(spark, sf)
-    )
+def _tables(spark, sf, history: bool = True) -> end_to_end.FeatureTables:
+    found = children(spark, sf) if history else {}
+    splits = fixture(spark, sf, "train"), fixture(spark, sf, "test")
+    return end_to_end.feature_tables(*splits, found, _FOLDS, SEED, ORDER)
 
 
 def _folded(spark, sf, history: bool = True) -> DataFrame:
-    """The joined training table with its fold, written once for the many passes over it."""
-    table = _tables(spark, sf).train
-    if not history:
-        added = {s.prefix + c for s in HISTORIES.values() for c in (*s.measures, *s.ratios)}
-        table = table.drop(*added)
-    return materialize(sampling.stratified_folds(table, Y, _FOLDS, KEY, SEED, ORDER), "features")
+    """The training table with its fold, written once for the many passes over it."""
+    return materialize(_tables(spark, sf, history).train, "features")
 
 
 def _compare(df: DataFrame, specs: list[models.ModelSpec]) -> DataFrame:
@@ -142,7 +138,7 @@ def top_features(spark, sf):
 def submission(spark, sf):
     tables = _tables(spark, sf)
     spec = _small(tables.train.columns)["lr_external"]
-    model = models.fit_model(spec, materialize(tables.train, "features"), Y, KEY)
+    model = models.fit_model(spec, materialize(tables.train.drop("fold"), "features"), Y, KEY)
     return score_table(model.score(tables.test, [KEY]), KEY, "SCORE", Y)
 
 

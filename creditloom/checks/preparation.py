@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import finite_or_null
+from ..functions import finite_or_null, with_exprs
 from ..operators import alignment, cleaning, features, models
 from ..plans import application as app
 from ..plans import loan_columns as names
@@ -13,7 +13,7 @@ from ..session import new_path
 from ..sources import profile, read_table, write_scores
 from . import sql
 from .fixtures import fixture
-from .registry import check
+from .registry import check, settle
 from .sql import check_sql, columns
 
 KEY = names.KEY
@@ -45,8 +45,6 @@ def csv_roundtrip(spark, sf):
     ),
 )
 def table_profile(spark, sf):
-    from .registry import settle
-
     return settle(profile(fixture(spark, sf, "scored"), names.LABEL, "SCORE"))
 
 
@@ -195,7 +193,7 @@ def employed_to_age(spark, sf):
 )
 def ratios(spark, sf):
     table = app.add_financial_ratios(_app(spark, sf))
-    return table.select(KEY, *[finite_or_null(c).alias(c) for c in sql.RATIO_SQL])
+    return table.select(KEY, *[F.expr(finite_or_null(c)).alias(c) for c in sql.RATIO_SQL])
 
 
 def _kinds_sql(c: str) -> str:
@@ -215,9 +213,7 @@ _ZERO_RATIOS = {"CREDIT_INCOME_RATIO": "prepared_all", "PAYMENT_RATIO": "install
 def zero_denominator(spark, sf):
     from ..plans.history import INSTALLMENTS
 
-    payments = fixture(spark, sf, "installments").select(
-        INSTALLMENTS.row_metrics["PAYMENT_RATIO"]().alias("PAYMENT_RATIO")
-    )
+    payments = with_exprs(fixture(spark, sf, "installments"), INSTALLMENTS.row_metrics).select("PAYMENT_RATIO")
     credit = app.add_financial_ratios(_app(spark, sf)).select("CREDIT_INCOME_RATIO")
 
     def kinds(df: DataFrame) -> DataFrame:
@@ -273,7 +269,7 @@ _FINITE = ", ".join(f"CASE WHEN isfinite({c}) THEN {c} END AS {c}" for c in sql.
 
 
 def _finite(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: finite_or_null(c) for c in sql.RATIO_SQL})
+    return with_exprs(df, {c: finite_or_null(c) for c in sql.RATIO_SQL})
 
 
 @check("e10_engineer", check_sql(f"SELECT * REPLACE ({_FINITE}) FROM prepared_all"))

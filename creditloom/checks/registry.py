@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..functions import finite_or_null, portable_order, round_half_away
+from ..functions import finite_or_null, portable_order, quoted, round_half_away, with_exprs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,10 +34,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def settle(df: DataFrame) -> DataFrame:
     """Doubles to four digits, Inf and NaN to null: the twin of ``settled`` on the SQL side."""
-    return df.withColumns(
-        {
-            f.name: round_half_away(finite_or_null(f.name) + 1e-6, 4)
-            for f in df.schema.fields
-            if isinstance(f.dataType, DoubleType)
-        }
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+    return with_exprs(
+        df, {c: round_half_away(f"({finite_or_null(quoted(c))} + 1e-6D)", 4) for c in doubles}
     )

@@ -1,15 +1,23 @@
-"""Column functions. Each takes and returns ``Column`` and stays inside generated code."""
+"""Expressions as SQL text, and the helper that adds them to a table.
+
+Each function takes and returns SQL text, so an operator hands Spark one string per column however
+deep the expression is, and everything stays inside generated code.
+"""
 
 from .scalar import (
     HashOrder,
     bin_by_edges,
     edge_index,
     finite_or_null,
+    number,
     portable_order,
+    quoted,
     ratio,
     round_half_away,
     round_half_even,
     row_mean,
+    text,
+    with_exprs,
     xxhash_order,
 )
 
@@ -18,10 +26,14 @@ __all__ = [
     "bin_by_edges",
     "edge_index",
     "finite_or_null",
+    "number",
     "portable_order",
+    "quoted",
     "ratio",
     "round_half_away",
     "round_half_even",
     "row_mean",
+    "text",
+    "with_exprs",
     "xxhash_order",
 ]

@@ -1,125 +1,144 @@
-"""Scalar column functions with the float semantics the loan formulas rely on."""
+"""Scalar expressions with the float semantics the loan formulas rely on, as SQL text."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+NAN = "double('NaN')"
+INF = "double('Infinity')"
 
-def _double(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast("double")
 
+def quoted(name: str) -> str:
+    """A column name as an identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
-def ratio(num: Column | str, den: Column | str, on_zero: str = "ieee") -> Column:
+
+def text(value: str) -> str:
+    """A string as a literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def number(value: float) -> str:
+    """A number as a double literal, exact to the last bit."""
+    value = float(value)
+    if math.isnan(value):
+        return NAN
+    if math.isinf(value):
+        return INF if value > 0 else f"(-{INF})"
+    return f"({value!r}D)"
+
+
+def with_exprs(df: DataFrame, exprs: Mapping[str, str]) -> DataFrame:
+    """Add or replace columns, all computed from the columns as they are in ``df``."""
+    if not exprs:
+        return df
+    new = {c: f"{e} AS {quoted(c)}" for c, e in exprs.items()}
+    if set(new).isdisjoint(df.columns):
+        return df.selectExpr("*", *new.values())
+    return df.selectExpr(*[new.pop(c, quoted(c)) for c in df.columns], *new.values())
+
+
+def ratio(num: str, den: str, on_zero: str = "ieee") -> str:
     """``num / den`` as double.
 
     ``on_zero="ieee"`` gives +-Inf or NaN for a zero divisor, as float division does;
     ``"null"`` gives null. A null operand gives null either way, and ANSI mode never raises.
     """
-    a, b = _double(num), _double(den)
+    a, b = f"double({num})", f"double({den})"
     if on_zero == "null":
-        return F.try_divide(a, b)
+        return f"try_divide({a}, {b})"
     if on_zero != "ieee":
         raise ValueError(f"on_zero must be 'ieee' or 'null', not {on_zero!r}")
-    at_zero = (
-        F.when((a == 0) | F.isnan(a), F.lit(float("nan")))
-        .when(a > 0, F.lit(float("inf")))
-        .when(a < 0, F.lit(float("-inf")))
-    )
-    return F.when(b == 0, at_zero).otherwise(F.try_divide(a, b))
+    at_zero = f"CASE WHEN {a} = 0 OR isnan({a}) THEN {NAN} WHEN {a} > 0 THEN {INF} WHEN {a} < 0 THEN -{INF} END"
+    return f"(CASE WHEN {b} = 0 THEN {at_zero} ELSE try_divide({a}, {b}) END)"
+
+
+def _rounded(x: str, digits: int, scaled: str) -> str:
+    bound = number(9e15 / 10**digits)
+    return f"(CASE WHEN abs({x}) < {bound} THEN {scaled} / {number(10**digits)} ELSE double({x}) END)"
 
 
-def round_half_away(value: Column | str, digits: int) -> Column:
+def round_half_away(x: str, digits: int) -> str:
     """Scale, round half away from zero, unscale.
 
     Spark's own ``round`` works on the decimal text of a double and moves near-ties. Values too
     large for an exact scaled integer, Inf, NaN and null pass through.
     """
-    x = _double(value)
-    scale = float(10**digits)
-    rounded = F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale
-    return F.when(F.abs(x) < 9e15 / scale, rounded).otherwise(x)
+    steps = f"double(floor(abs({x}) * {number(10**digits)} + 0.5D))"
+    return _rounded(x, digits, f"signum({x}) * {steps}")
 
 
-def round_half_even(value: Column | str, digits: int) -> Column:
+def round_half_even(x: str, digits: int) -> str:
     """As :func:`round_half_away` but ties go to the even neighbour."""
-    x = _double(value)
-    scale = float(10**digits)
-    return F.when(F.abs(x) < 9e15 / scale, F.rint(x * scale) / scale).otherwise(x)
+    return _rounded(x, digits, f"rint({x} * {number(10**digits)})")
 
 
-def row_mean(*values: Column | str) -> Column:
-    """Mean across columns of one row, skipping nulls; null where all are null."""
-    cols = [_double(v) for v in values]
-    total, filled = F.lit(0.0), F.lit(0)
-    for c in cols:
-        total = total + F.coalesce(c, F.lit(0.0))
-        filled = filled + c.isNotNull().cast("int")
-    return F.try_divide(total, filled.cast("double"))
+def row_mean(*values: str) -> str:
+    """Mean across expressions of one row, skipping nulls; null where all are null."""
+    total = " + ".join(f"coalesce(double({v}), 0D)" for v in values)
+    filled = " + ".join(f"int({v} IS NOT NULL)" for v in values)
+    return f"try_divide({total}, double({filled}))"
 
 
-def finite_or_null(value: Column | str) -> Column:
+def finite_or_null(x: str) -> str:
     """Inf and NaN become null."""
-    x = _double(value)
-    return F.when(F.abs(x) < float("inf"), x)
+    return f"(CASE WHEN abs(double({x})) < {INF} THEN double({x}) END)"
 
 
-def _search(x: Column, edges: Sequence[float], leaves: Sequence[Column]) -> Column:
+def _search(x: str, edges: Sequence[float], leaves: Sequence[str]) -> str:
     # A balanced tree of comparisons: log2(len(edges)) tests per row, all in generated code.
     # Null and NaN fail every test and so reach the last leaf.
     if not edges:
         return leaves[0]
     mid = len(edges) // 2
-    return F.when(x < F.lit(edges[mid]), _search(x, edges[:mid], leaves[: mid + 1])).otherwise(
-        _search(x, edges[mid + 1 :], leaves[mid + 1 :])
-    )
+    low, high = _search(x, edges[:mid], leaves[: mid + 1]), _search(x, edges[mid + 1 :], leaves[mid + 1 :])
+    return f"CASE WHEN {x} < {number(edges[mid])} THEN {low} ELSE {high} END"
 
 
-def _ascending(edges: Sequence[float]) -> list[float]:
+def _tree(x: str, edges: Sequence[float], leaves: Sequence[str]) -> str:
     if any(a >= b for a, b in zip(edges, edges[1:])):
         raise ValueError("edges must be strictly ascending")
-    return [float(e) for e in edges]
+    return f"({_search(x, edges, leaves)})"
 
 
-def edge_index(value: Column | str, edges: Sequence[float]) -> Column:
+def edge_index(x: str, edges: Sequence[float]) -> str:
     """How many of the ascending ``edges`` are <= the value. Meant for up to some hundred edges."""
-    return _search(_double(value), _ascending(edges), [F.lit(i) for i in range(len(edges) + 1)])
+    return _tree(x, edges, [str(i) for i in range(len(edges) + 1)])
 
 
 def bin_by_edges(
-    value: Column | str, edges: Sequence[float], labels: Sequence[str], null_label: str | None = None
-) -> Column:
+    x: str, edges: Sequence[float], labels: Sequence[str], null_label: str | None = None
+) -> str:
     """Label of the half-open bin ``[edge, next edge)`` that holds the value.
 
     Null and NaN fall into the last bin, unless ``null_label`` names a bin for null.
     """
     if len(labels) != len(edges) + 1:
         raise ValueError("need exactly one label more than edges")
-    x = _double(value)
-    binned = _search(x, _ascending(edges), [F.lit(label) for label in labels])
-    return binned if null_label is None else F.when(x.isNull(), F.lit(null_label)).otherwise(binned)
+    binned = _tree(x, edges, [text(label) for label in labels])
+    return binned if null_label is None else f"(CASE WHEN {x} IS NULL THEN {text(null_label)} ELSE {binned} END)"
 
 
 @dataclass(frozen=True)
 class HashOrder:
-    """A repeatable shuffle order: ``column(key)`` is a hash in ``[0, span)``, ties go by key."""
+    """A repeatable shuffle order: ``of(key)`` is a hash in ``[0, span)``, ties go by key."""
 
-    column: Callable[[Column], Column]
+    of: Callable[[str], str]
     span: int
 
 
 def xxhash_order(seed: int) -> HashOrder:
     """Default order; 2**40 hash values, so ties are rare at any table size."""
     span = 2**40
-    return HashOrder(lambda key: F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(span)), span)
+    return HashOrder(lambda key: f"pmod(xxhash64({key}, {seed}), {span}L)", span)
 
 
 def portable_order(seed: int) -> HashOrder:
     """An order that any SQL engine can reproduce. The key is reduced first, so it cannot overflow."""
-    modulus = 1000003
-    return HashOrder(
-        lambda key: F.pmod(F.pmod(key, F.lit(modulus)) * 7919 + 104729 * seed, F.lit(modulus)), modulus
-    )
+    m = 1000003
+    return HashOrder(lambda key: f"pmod(pmod({key}, {m}L) * 7919L + {104729 * seed}L, {m}L)", m)

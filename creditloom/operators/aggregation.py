@@ -2,45 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import quoted, with_exprs
 from .features import add_ratios
 
-Build = Callable[[], Column]
 
-
-def rows() -> Build:
+def rows() -> str:
     """Number of rows, nulls included."""
-    return lambda: F.count(F.lit(1))
+    return "count(1)"
 
 
-def tally(test: Callable[[], Column]) -> Build:
+def tally(test: str) -> str:
     """Number of rows where the test holds; a null test does not count, and the result is never null."""
-    return lambda: F.count_if(test())
+    return f"count_if({test})"
 
 
-def total(col: str) -> Build:
+def total(col: str) -> str:
     """Sum; 0 where every value is null."""
-    return lambda: F.coalesce(F.sum(F.col(col).cast("double")), F.lit(0.0))
+    return f"coalesce(sum(double({quoted(col)})), 0D)"
 
 
-def average(col: str) -> Build:
+def average(col: str) -> str:
     """Mean of the non-null values."""
-    return lambda: F.avg(F.col(col))
+    return f"avg({quoted(col)})"
 
 
-def highest(col: str) -> Build:
+def highest(col: str) -> str:
     """Maximum, leaving out null and NaN."""
-    return lambda: F.max(F.when(~F.isnan(F.col(col)), F.col(col)))
+    return f"max(CASE WHEN NOT isnan({quoted(col)}) THEN {quoted(col)} END)"
 
 
 @dataclass(frozen=True)
 class HistorySpec:
-    """What to derive from a child table.
+    """What to derive from a child table, as SQL expressions.
 
     ``row_metrics`` are computed on each child row, ``measures`` per key, and ``ratios`` from the
     measures as ``(numerator, denominator, digits)``. Names get ``prefix`` in front, also where a
@@ -48,9 +47,13 @@ class HistorySpec:
     """
 
     prefix: str
-    measures: Mapping[str, Build]
+    measures: Mapping[str, str]
     ratios: Mapping[str, tuple[str, str, int]] = field(default_factory=dict)
-    row_metrics: Mapping[str, Build] = field(default_factory=dict)
+    row_metrics: Mapping[str, str] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.prefix + c for c in (*self.measures, *self.ratios)]
 
 
 def aggregate_to_key(
@@ -61,13 +64,9 @@ def aggregate_to_key(
     All measures are partial aggregates, so a key that owns a large share of the rows shrinks to
     one row per map task before the only shuffle.
     """
-    if spec.row_metrics:
-        df = df.withColumns({name: build() for name, build in spec.row_metrics.items()})
-    out = df.groupBy(key).agg(*[build().alias(spec.prefix + n) for n, build in spec.measures.items()])
+    df = with_exprs(df, spec.row_metrics)
+    out = df.groupBy(key).agg(*[F.expr(f"{e} AS {quoted(spec.prefix + n)}") for n, e in spec.measures.items()])
     if not with_ratios:
         return out
-    return add_ratios(
-        out,
-        {spec.prefix + n: (spec.prefix + a, spec.prefix + b, d) for n, (a, b, d) in spec.ratios.items()},
-        on_zero,
-    )
+    p = spec.prefix
+    return add_ratios(out, {p + n: (p + a, p + b, d) for n, (a, b, d) in spec.ratios.items()}, on_zero)

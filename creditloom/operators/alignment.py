@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StructType
 
+from ..functions import quoted, with_exprs
+
 
 def align_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema`` in its order: absent ones as typed nulls, others dropped."""
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+            quoted(f.name)
+            if f.name in have
+            else f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
             for f in schema.fields
         ]
     )
@@ -40,12 +43,8 @@ def split_by_type(df: DataFrame) -> tuple[list[str], list[str]]:
 
 def bool_to_byte(df: DataFrame) -> DataFrame:
     """Cast every boolean column to a one-byte integer."""
-    return df.select(
-        *[
-            F.col(f.name).cast("tinyint").alias(f.name) if isinstance(f.dataType, BooleanType) else f.name
-            for f in df.schema.fields
-        ]
-    )
+    flags = [f.name for f in df.schema.fields if isinstance(f.dataType, BooleanType)]
+    return with_exprs(df, {c: f"tinyint({quoted(c)})" for c in flags})
 
 
 def feature_columns(df: DataFrame, exclude: Iterable[str]) -> DataFrame:

@@ -4,59 +4,68 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql import DataFrame
 
+from ..functions import number, quoted, text, with_exprs
 from .quantiles import exact_medians
 
+Value = str | float | int
 
-def _type(df: DataFrame, col: str) -> DataType:
-    return df.schema[col].dataType
 
+def _literal(value: Value) -> str:
+    if isinstance(value, str):
+        return text(value)
+    return str(value) if isinstance(value, int) else number(value)
 
-def sentinel_to_null(df: DataFrame, col: str, value: object, flag: str) -> DataFrame:
+
+def _typed(df: DataFrame, col: str, expr: str) -> str:
+    return f"CAST({expr} AS {df.schema[col].dataType.simpleString()})"
+
+
+def sentinel_to_null(df: DataFrame, col: str, value: Value, flag: str) -> DataFrame:
     """Replace a placeholder value by null and record where it stood; the flag is null for null."""
-    hit = F.col(col) == F.lit(value)
-    return df.withColumns(
-        {flag: hit, col: F.when(hit, F.lit(None).cast(_type(df, col))).otherwise(F.col(col))}
-    )
+    hit = f"{quoted(col)} = {_literal(value)}"
+    return with_exprs(df, {col: f"CASE WHEN {hit} THEN NULL ELSE {quoted(col)} END", flag: hit})
 
 
-def code_to_null(df: DataFrame, col: str, codes: Sequence[object]) -> DataFrame:
+def code_to_null(df: DataFrame, col: str, codes: Sequence[Value]) -> DataFrame:
     """Replace codes that stand for "not known" by null."""
-    unknown = F.col(col).isin(list(codes))
-    return df.withColumn(col, F.when(unknown, F.lit(None).cast(_type(df, col))).otherwise(F.col(col)))
+    listed = ", ".join(map(_literal, codes))
+    return with_exprs(df, {col: f"CASE WHEN {quoted(col)} IN ({listed}) THEN NULL ELSE {quoted(col)} END"})
 
 
-def fill_where(df: DataFrame, col: str, predicate: Column, value: object) -> DataFrame:
-    """Overwrite ``col`` where the predicate holds; a null predicate keeps the value."""
-    return df.withColumn(col, F.when(predicate, F.lit(value)).otherwise(F.col(col)))
+def fill_where(df: DataFrame, col: str, predicate: str, value: Value) -> DataFrame:
+    """Overwrite ``col`` where the SQL predicate holds; a null predicate keeps the value."""
+    return with_exprs(df, {col: f"CASE WHEN {predicate} THEN {_literal(value)} ELSE {quoted(col)} END"})
 
 
 def fill_null(
     df: DataFrame,
-    cols: Mapping[str, object] | Iterable[str],
-    value: object = None,
+    cols: Mapping[str, Value] | Iterable[str],
+    value: Value | None = None,
     if_exists: bool = False,
 ) -> DataFrame:
     """Replace null, and only null, by a constant per column. NaN stays."""
     values = dict(cols) if isinstance(cols, Mapping) else dict.fromkeys(cols, value)
     if if_exists:
         values = {c: v for c, v in values.items() if c in df.columns}
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(v).cast(_type(df, c))) for c, v in values.items()}
+    return with_exprs(
+        df, {c: f"coalesce({quoted(c)}, {_typed(df, c, _literal(v))})" for c, v in values.items()}
     )
 
 
 def impute(df: DataFrame, cols: Sequence[str], values: Mapping[str, float] | None = None) -> DataFrame:
-    """Fill nulls with the given values, or with the exact medians of ``df`` where none are given."""
+    """Fill nulls with the given values, or with the exact medians of ``df`` where none are given.
+
+    A fitted value of ``None``, from a column without any value, fills nothing.
+    """
     if values is None:
         values = exact_medians(df, cols)
     missing = [c for c in cols if c not in values]
     if missing:
         raise ValueError(f"no fitted value for {missing}: fit the parameters on training data first")
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(values[c]).cast("double")) for c in cols})
+    known = {c: values[c] for c in cols if values[c] is not None}
+    return with_exprs(df, {c: f"coalesce({quoted(c)}, {number(v)})" for c, v in known.items()})
 
 
 def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -68,10 +77,8 @@ def null_shares(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Share of nulls per column, all in one aggregate; 0 for an empty table."""
     if not cols:
         return {}
-    row = df.agg(
-        *[F.coalesce(F.avg(F.col(c).isNull().cast("double")), F.lit(0.0)).alias(c) for c in cols]
-    ).first()
-    return row.asDict()
+    shares = [f"coalesce(avg(double({quoted(c)} IS NULL)), 0D) AS {quoted(c)}" for c in cols]
+    return df.selectExpr(*shares).first().asDict()
 
 
 def drop_high_missing(

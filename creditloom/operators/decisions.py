@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import edge_index
+from ..functions import edge_index, quoted
 from .evaluation import COUNTS, add_metrics, confusion_counts
 from .quantiles import exact_medians
 from .ranking import argmax
@@ -60,18 +60,17 @@ def sweep_counts(df: DataFrame, label: str, score: str, grid: Sequence[float] =
         raise ValueError(f"a grid of more than {MAX_GRID} thresholds is a ROC curve: use roc_curve")
     cells = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(edge_index(score, grid).alias("_cell"))
+        .groupBy(F.expr(edge_index(quoted(score), grid)).alias("_cell"))
         .agg(F.count_if(F.col(label) == 0).alias("_n0"), F.count_if(F.col(label) == 1).alias("_n1"))
     )
-    steps = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(grid)])
-    denied = F.col("_cell") >= F.col("_step.i")
+    denied = F.col("_cell") > F.col("_at")
 
     def sum_where(count: str, test: Column) -> Column:
         return F.sum(F.when(test, F.col(count)).otherwise(F.lit(0)))
 
     return (
-        cells.withColumn("_step", F.explode(steps))
-        .groupBy(F.col("_step.t").alias("threshold"))
+        cells.select("*", F.posexplode(F.lit(grid)).alias("_at", "threshold"))
+        .groupBy("threshold")
         .agg(
             sum_where("_n0", ~denied).alias("tn"),
             sum_where("_n0", denied).alias("fp"),

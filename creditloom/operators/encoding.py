@@ -7,10 +7,10 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import finite_or_null
+from ..functions import finite_or_null, number, quoted, text, with_exprs
 from ..session import materialize
 from .alignment import bool_to_byte, split_by_type
 from .quantiles import exact_medians
@@ -22,37 +22,38 @@ BROADCAST_LEVELS = 100_000
 
 def fit_imputer(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Exact median of the finite values per column; 0 for a column without any."""
-    medians = exact_medians(df.select(*[finite_or_null(c).alias(c) for c in cols]), cols)
-    return {c: 0.0 if m is None else m for c, m in medians.items()}
+    finite = df.selectExpr(*[f"{finite_or_null(quoted(c))} AS {quoted(c)}" for c in cols])
+    return {c: 0.0 if m is None else m for c, m in exact_medians(finite, cols).items()}
 
 
-def imputed(col: str, median: float) -> Column:
+def imputed(col: str, median: float) -> str:
     """The finite value or the median."""
-    return F.coalesce(finite_or_null(col), F.lit(float(median)))
+    return f"coalesce({finite_or_null(quoted(col))}, {number(median)})"
 
 
-def fit_scaler(df: DataFrame, values: Mapping[str, Column]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per column in one pass; a zero deviation becomes 1."""
+def fit_scaler(df: DataFrame, values: Mapping[str, str]) -> dict[str, tuple[float, float]]:
+    """Mean and population standard deviation per expression in one pass; a zero deviation becomes 1."""
     if not values:
         return {}
     measures = []
     for i, v in enumerate(values.values()):
-        measures += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
-    row = df.agg(*measures).first()
+        measures += [f"avg({v}) AS m{i}", f"stddev_pop({v}) AS s{i}"]
+    row = df.selectExpr(*measures).first()
     return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(values)}
 
 
-def scaled(value: Column, mean: float, std: float) -> Column:
-    return (value - F.lit(mean)) / F.lit(std)
+def scaled(value: str, mean: float, std: float) -> str:
+    return f"(({value} - {number(mean)}) / {number(std)})"
 
 
 def _level_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # One row per (column, value): counted before the shuffle, so a hot value is one row per task.
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cols]
-    )
+    pairs = ", ".join(f"struct({text(c)} AS col, string({quoted(c)}) AS level)" for c in cols)
     return (
-        df.select(F.inline(pairs)).filter("level IS NOT NULL").groupBy("col", "level").agg(F.count("*").alias("n"))
+        df.selectExpr(f"inline(array({pairs}))")
+        .filter("level IS NOT NULL")
+        .groupBy("col", "level")
+        .agg(F.count("*").alias("n"))
     )
 
 
@@ -111,18 +112,17 @@ def apply_ordinal(df: DataFrame, fit: OrdinalFit, modes: Mapping[str, str | None
     """
     spark, modes = df.sparkSession, modes or {}
 
-    def filled(c: str) -> Column:
-        text = F.col(c).cast("string")
-        return text if modes.get(c) is None else F.coalesce(text, F.lit(modes[c]))
+    def filled(c: str) -> str:
+        value = f"string({quoted(c)})"
+        return value if modes.get(c) is None else f"coalesce({value}, {text(modes[c])})"
+
+    def position(c: str, levels: Sequence[str]) -> str:
+        # array_position counts from 1 and gives 0 for an absent value.
+        known = ", ".join(map(text, levels))
+        return f"double(array_position(array({known}), {filled(c)}) - 1)" if levels else "-1D"
 
     literal = {c: v for c, v in fit.levels.items() if len(v) <= LITERAL_LEVELS}
-    out = df.withColumns(
-        {
-            # array_position counts from 1 and gives 0 for an absent value.
-            c: (F.array_position(F.lit(list(v)), filled(c)) - 1).cast("double") if v else F.lit(-1.0)
-            for c, v in literal.items()
-        }
-    )
+    out = with_exprs(df, {c: position(c, v) for c, v in literal.items()})
     joined = {c: None for c in fit.levels if c not in literal} | dict(fit.tables)
     for c, table in joined.items():
         if table is None:
@@ -130,11 +130,10 @@ def apply_ordinal(df: DataFrame, fit: OrdinalFit, modes: Mapping[str, str | None
             table = spark.createDataFrame(rows, "level string, at bigint")
         if fit.sizes.get(c, 0) <= BROADCAST_LEVELS:
             table = F.broadcast(table)
-        out = out.withColumn("_level", filled(c)).join(
-            table.select(F.col("level").alias("_level"), F.col("at").alias("_at")), "_level", "left"
-        )
-        position = F.coalesce(F.col("_at").cast("double"), F.lit(-1.0))
-        out = out.withColumn(c, F.when(F.col("_level").isNotNull(), position)).drop("_level", "_at")
+        places = table.selectExpr("level AS _level", "double(at) AS _at")
+        out = with_exprs(out, {"_level": filled(c)}).join(places, "_level", "left")
+        found = "CASE WHEN _level IS NOT NULL THEN coalesce(_at, -1D) END"
+        out = with_exprs(out, {c: found}).drop("_level", "_at")
     return out.select(*df.columns)
 
 
@@ -171,12 +170,13 @@ class PreprocessorModel(Model):
     def encode(self, dataset: DataFrame, keep: Sequence[str], out: str = "x") -> DataFrame:
         """``keep`` columns and the features as one array."""
         kept = {c: f"_keep_{i}" for i, c in enumerate(keep)}
-        df = bool_to_byte(dataset).withColumns({alias: F.col(c) for c, alias in kept.items()})
+        df = with_exprs(bool_to_byte(dataset), {alias: quoted(c) for c, alias in kept.items()})
         df = apply_ordinal(df, self.ordinal, self.modes)
         numbers = [scaled(imputed(c, m), *self.scales[c]) for c, m in self.medians.items()]
-        codes = [F.coalesce(F.col(c), F.lit(-1.0)) for c in self.modes]
-        return df.select(
-            *[F.col(alias).alias(c) for c, alias in kept.items()], F.array(*numbers, *codes).alias(out)
+        codes = [f"coalesce({quoted(c)}, -1D)" for c in self.modes]
+        return df.selectExpr(
+            *[f"{alias} AS {quoted(c)}" for c, alias in kept.items()],
+            f"array({', '.join([*numbers, *codes])}) AS {quoted(out)}",
         )
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

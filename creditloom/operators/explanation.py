@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import number, quoted, text, with_exprs
 from .ranking import top_k
 
 Reasons = Sequence[tuple[Sequence[str], str, str]]
@@ -29,21 +30,16 @@ def linear_attributions(
     For a linear model with independent features this is the exact Shapley value; over the features
     it sums to the row's margin less the mean margin. Row-local arithmetic.
     """
-    return df.withColumns(
-        {prefix + c: F.lit(float(w)) * (F.col(c) - F.lit(float(means[c]))) for c, w in weights.items()}
+    return with_exprs(
+        df, {prefix + c: f"{number(w)} * ({quoted(c)} - {number(means[c])})" for c, w in weights.items()}
     )
 
 
 def mean_abs_attribution(df: DataFrame, columns: Mapping[str, str], k: int = 20) -> DataFrame:
     """Top ``k`` features by mean absolute attribution; ``columns`` maps feature to column."""
-    wide = df.agg(*[F.avg(F.abs(F.col(c))).alias(f"_{i}") for i, c in enumerate(columns.values())])
-    rows = F.array(
-        *[
-            F.struct(F.lit(f).alias("feature"), F.col(f"_{i}").alias("importance"))
-            for i, f in enumerate(columns)
-        ]
-    )
-    return top_k(wide.select(F.inline(rows)), "importance", k, "feature")
+    wide = df.selectExpr(*[f"avg(abs({quoted(c)})) AS _{i}" for i, c in enumerate(columns.values())])
+    rows = ", ".join(f"struct({text(f)} AS feature, _{i} AS importance)" for i, f in enumerate(columns))
+    return top_k(wide.selectExpr(f"inline(array({rows}))"), "importance", k, "feature")
 
 
 def sampled_shapley(

@@ -6,17 +6,20 @@ from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions import bin_by_edges, ratio, round_half_away, row_mean
+from ..functions import bin_by_edges, number, quoted, ratio, round_half_away, row_mean, with_exprs
 
 
 def days_to_years(
     df: DataFrame, names: Mapping[str, str], digits: int = 2, days_per_year: float = 365.25
 ) -> DataFrame:
     """Signed day offsets to positive years: ``{source: new column}``."""
-    return df.withColumns(
-        {new: round_half_away(F.abs(F.col(old)) / F.lit(days_per_year), digits) for old, new in names.items()}
+    return with_exprs(
+        df,
+        {
+            new: round_half_away(f"(abs({quoted(old)}) / {number(days_per_year)})", digits)
+            for old, new in names.items()
+        },
     )
 
 
@@ -24,19 +27,23 @@ def add_ratios(
     df: DataFrame, ratios: Mapping[str, tuple[str, str, int]], on_zero: str = "ieee"
 ) -> DataFrame:
     """Rounded quotients: ``{new column: (numerator, denominator, digits)}``."""
-    return df.withColumns(
-        {new: round_half_away(ratio(a, b, on_zero), digits) for new, (a, b, digits) in ratios.items()}
+    return with_exprs(
+        df,
+        {
+            new: round_half_away(ratio(quoted(a), quoted(b), on_zero), digits)
+            for new, (a, b, digits) in ratios.items()
+        },
     )
 
 
 def missing_flags(df: DataFrame, cols: Sequence[str], prefix: str = "MISS_") -> DataFrame:
     """A boolean per listed column that is present: was the value null?"""
-    return df.withColumns({prefix + c: F.col(c).isNull() for c in cols if c in df.columns})
+    return with_exprs(df, {prefix + c: f"{quoted(c)} IS NULL" for c in cols if c in df.columns})
 
 
 def add_row_mean(df: DataFrame, cols: Sequence[str], out: str, digits: int = 6) -> DataFrame:
     """Null-skipping mean across columns."""
-    return df.withColumn(out, round_half_away(row_mean(*cols), digits))
+    return with_exprs(df, {out: round_half_away(row_mean(*map(quoted, cols)), digits)})
 
 
 def add_interactions(df: DataFrame, names: Mapping[str, str], stem: str, digits: int = 6) -> DataFrame:
@@ -44,12 +51,11 @@ def add_interactions(df: DataFrame, names: Mapping[str, str], stem: str, digits:
 
     Products are called ``<stem>_<a>x<b>`` and squares ``<stem>_<a>_SQ``.
     """
-    new = {
-        f"{stem}_{names[a]}x{names[b]}": round_half_away(F.col(a) * F.col(b), digits)
-        for a, b in combinations(names, 2)
-    }
-    new |= {f"{stem}_{short}_SQ": round_half_away(F.col(c) * F.col(c), digits) for c, short in names.items()}
-    return df.withColumns(new)
+    pairs = {f"{stem}_{names[a]}x{names[b]}": (a, b) for a, b in combinations(names, 2)}
+    pairs |= {f"{stem}_{short}_SQ": (c, c) for c, short in names.items()}
+    return with_exprs(
+        df, {new: round_half_away(f"({quoted(a)} * {quoted(b)})", digits) for new, (a, b) in pairs.items()}
+    )
 
 
 def add_bins(
@@ -58,8 +64,9 @@ def add_bins(
     null_label: str | None = None,
 ) -> DataFrame:
     """Fixed-edge bins: ``{new column: (source, edges, labels)}``. Null lands in the last bin by default."""
-    return df.withColumns(
-        {new: bin_by_edges(c, edges, labels, null_label) for new, (c, edges, labels) in bins.items()}
+    return with_exprs(
+        df,
+        {new: bin_by_edges(quoted(c), edges, labels, null_label) for new, (c, edges, labels) in bins.items()},
     )
 
 

@@ -15,7 +15,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..functions import number, quoted, with_exprs
+from ..session import ensure_checkpoint_dir, materialize
 from .encoding import PreprocessorModel, build_preprocessor
 from .evaluation import auc
 from .ranking import argmax, summarise_folds, top_k
@@ -40,10 +41,8 @@ def class_weights(df: DataFrame, label: str) -> dict[object, float]:
 
 def add_class_weight(df: DataFrame, label: str, weights: Mapping[object, float], out: str) -> DataFrame:
     """The weight of each row's class as a column."""
-    weight = F.lit(None).cast("double")
-    for g, w in weights.items():
-        weight = F.when(F.col(label) == F.lit(g), F.lit(float(w))).otherwise(weight)
-    return df.withColumn(out, weight)
+    branches = " ".join(f"WHEN {quoted(label)} = {g} THEN {number(w)}" for g, w in weights.items())
+    return with_exprs(df, {out: f"CASE {branches} END"})
 
 
 def logistic(c: float = 1.0, max_iter: int = 1000) -> Learner:
@@ -144,32 +143,52 @@ class FittedModel:
         return top_k(self.importances(spark), "importance", k, "feature")
 
 
-def fit_model(
-    spec: ModelSpec, train: DataFrame, label: str, key: str, exclude: Sequence[str] = ()
+def fit_encoder(
+    train: DataFrame, features: Sequence[str] | None, label: str, key: str, exclude: Sequence[str] = ()
+) -> tuple[PreprocessorModel, DataFrame]:
+    """Fit the preprocessing on ``train`` and write its encoded rows: (key, label, x).
+
+    The learners pass over the rows many times, so they read them as a table.
+    """
+    chosen = train if features is None else train.select(key, label, *features)
+    encoder = build_preprocessor(chosen, [key, label, *exclude]).fit(chosen)
+    return encoder, materialize(encoder.encode(chosen, [key, label]), "encoded")
+
+
+def fit_encoded(
+    spec: ModelSpec, encoder: PreprocessorModel, rows: DataFrame, label: str, key: str
 ) -> FittedModel:
-    """Fit preprocessing and classifier on ``train``. The key and the label are never features."""
-    ensure_checkpoint_dir(train.sparkSession)
-    if spec.learner is None:
-        counts = class_counts(train, label)
-        major = min(counts, key=lambda g: (-counts[g], g))
-        return FittedModel(spec, None, None, float(major))
-    chosen = train if spec.features is None else train.select(key, label, *spec.features)
-    pre = build_preprocessor(chosen, [key, label, *exclude]).fit(chosen)
-    rows = pre.encode(chosen, [key, label])
+    """Resample and weight encoded training rows as ``spec`` says, and fit its classifier."""
+    ensure_checkpoint_dir(rows.sparkSession)
     if spec.resample is not None:
-        rows = spec.resample(rows, label, key)
+        rows = materialize(spec.resample(rows, label, key), "resampled")
     if spec.weight == "balanced":
         rows = add_class_weight(rows, label, class_weights(rows, label), "weight")
     elif spec.weight == "positive":
         rows = add_class_weight(rows, label, {0: 1.0, 1: float(scale_pos_weight(rows, label))}, "weight")
     elif spec.weight is not None:
         raise ValueError(f"unknown weight {spec.weight!r}")
-    learner = spec.learner(sum(class_counts(rows, label).values()))
-    learner = learner.setLabelCol(label).setFeaturesCol("features")
+    learner = spec.learner(rows.count()).setLabelCol(label).setFeaturesCol("features")
     if spec.weight is not None:
         learner = learner.setWeightCol("weight")
     ready = rows.withColumns({"features": array_to_vector("x"), label: F.col(label).cast("double")})
-    return FittedModel(spec, pre, learner.fit(ready.drop("x")))
+    return FittedModel(spec, encoder, learner.fit(ready.drop("x")))
+
+
+def fit_majority(spec: ModelSpec, train: DataFrame, label: str) -> FittedModel:
+    """The most frequent label as a constant score; the smaller label among equals."""
+    counts = class_counts(train, label)
+    return FittedModel(spec, None, None, float(min(counts, key=lambda g: (-counts[g], g))))
+
+
+def fit_model(
+    spec: ModelSpec, train: DataFrame, label: str, key: str, exclude: Sequence[str] = ()
+) -> FittedModel:
+    """Fit preprocessing and classifier on ``train``. The key and the label are never features."""
+    if spec.learner is None:
+        return fit_majority(spec, train, label)
+    encoder, rows = fit_encoder(train, spec.features, label, key, exclude)
+    return fit_encoded(spec, encoder, rows, label, key)
 
 
 def _run(tasks: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
@@ -192,17 +211,32 @@ def out_of_fold(
 ) -> DataFrame:
     """Each row scored, per model, by the fit that did not see it: (model, fold, key, label, ..., SCORE).
 
-    ``df`` carries the fold column and should be a table or otherwise cheap to read again, as every
-    fit reads it. Fits run side by side up to ``parallelism``.
+    ``df`` carries the fold column and should be a table or otherwise cheap to read again.
+    Preprocessing is fitted on the training part of each fold, once for all models that share a
+    feature list. Fits run side by side up to ``parallelism``.
     """
+    kept = list(dict.fromkeys([fold, key, label, *keep]))
+    learned = [s for s in specs if s.learner is not None]
+    lists = list(dict.fromkeys(None if s.features is None else tuple(s.features) for s in learned))
+
+    def encode(features: tuple[str, ...] | None, i: int) -> tuple[PreprocessorModel, DataFrame, DataFrame]:
+        encoder, rows = fit_encoder(df.filter(F.col(fold) != i).drop(fold), features, label, key)
+        held = encoder.encode(df.filter(F.col(fold) == i), kept)
+        sharing = sum((None if s.features is None else tuple(s.features)) == features for s in learned)
+        return encoder, rows, materialize(held, "held") if sharing > 1 else held
+
+    parts = [(f, i) for f in lists for i in range(k)]
+    encoded = dict(zip(parts, _run([lambda f=f, i=i: encode(f, i) for f, i in parts], parallelism)))
 
     def held_out(spec: ModelSpec, i: int) -> DataFrame:
-        train = df.filter(F.col(fold) != i).drop(fold)
-        held = df.filter(F.col(fold) == i)
-        if spec.features is not None:
-            wanted = dict.fromkeys([key, label, fold, *keep, *spec.features])
-            held = held.select(*wanted)
-        scored = fit_model(spec, train, label, key).score(held, [fold, key, label, *keep])
+        if spec.learner is None:
+            model = fit_majority(spec, df.filter(F.col(fold) != i), label)
+            scored = model.score(df.filter(F.col(fold) == i), kept)
+        else:
+            features = None if spec.features is None else tuple(spec.features)
+            encoder, rows, held = encoded[features, i]
+            model = fit_encoded(spec, encoder, rows, label, key)
+            scored = model.score_encoded(held.withColumn("features", array_to_vector("x"))).select(*kept, "SCORE")
         return scored.withColumn("model", F.lit(spec.name))
 
     fits = [lambda s=s, i=i: held_out(s, i) for s in specs for i in range(k)]
@@ -226,7 +260,8 @@ def cross_validate(
     parallelism: int = 1,
 ) -> DataFrame:
     """Mean and population standard deviation of the AUC over the folds, and mean accuracy, per model."""
-    metrics = fold_metrics(out_of_fold(df, specs, label, key, k, fold, parallelism=parallelism), label, fold)
+    oof = out_of_fold(df, specs, label, key, k, fold, parallelism=parallelism)
+    metrics = fold_metrics(materialize(oof, "oof"), label, fold)
     accuracy = metrics.groupBy("model").agg(F.avg("accuracy").alias("mean_accuracy"))
     return summarise_folds(metrics, "model", "auc").join(accuracy, "model")
 

@@ -189,9 +189,9 @@ def smote(
         .agg(F.sort_array(F.collect_list(F.struct("rank", "neighbour")))["neighbour"].alias("_near"))
     )
     copies, rest = divmod(need, n_minor)
-    extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed)).cast("int")
+    extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed))
     starts = (
-        minority.withColumn("_n", F.lit(copies) + extra)
+        minority.selectExpr("*", f"{copies} + int({extra}) AS _n")
         .filter("_n > 0")
         .join(near, key)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))

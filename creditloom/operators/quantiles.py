@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from ..functions import number, quoted
 
 SETTLE_VALUES = 10_000  # a bracket of at most this many values is read and sorted
 SKETCH_ACCURACY = 10_000
@@ -24,43 +25,44 @@ class _Search:
     inside: int = 0  # values in (lo, hi)
     value: float | None = None
 
-    def bracket(self) -> Column:
-        x = _number(self.column)
+    def bracket(self) -> str:
+        """The value where it lies in the bracket, else null."""
+        x, tests = _number(self.column), []
         if self.lo is not None:
-            x = F.when(x > F.lit(self.lo), x)
+            tests.append(f"{x} > {number(self.lo)}")
         if self.hi is not None:
-            x = F.when(x < F.lit(self.hi), x)
-        return x
+            tests.append(f"{x} < {number(self.hi)}")
+        return f"(CASE WHEN {' AND '.join(tests)} THEN {x} END)" if tests else x
 
 
-def _number(column: str) -> Column:
-    x = F.col(f"`{column}`").cast("double")
-    return F.when(~F.isnan(x), x)
+def _number(column: str) -> str:
+    x = f"double({quoted(column)})"
+    return f"(CASE WHEN NOT isnan({x}) THEN {x} END)"
 
 
-def _middle(x: Column, share: float) -> Column:
+def _middle(x: str, share: float) -> str:
     # A sketch of bounded size, narrowed to a little more than its guaranteed rank error.
     slack = 2.0 / SKETCH_ACCURACY
-    bounds = [min(max(share + d, 0.0), 1.0) for d in (-slack, slack)]
-    return F.percentile_approx(x, bounds, SKETCH_ACCURACY)
+    low, high = (min(max(share + d, 0.0), 1.0) for d in (-slack, slack))
+    return f"percentile_approx({x}, array({number(low)}, {number(high)}), {SKETCH_ACCURACY})"
 
 
 def _narrow(df: DataFrame, open_searches: list[_Search]) -> None:
     sketch = [
-        _middle(s.bracket(), (s.rank - s.below) / max(s.inside - 1, 1)).alias(f"s{i}")
+        f"{_middle(s.bracket(), (s.rank - s.below) / max(s.inside - 1, 1))} AS s{i}"
         for i, s in enumerate(open_searches)
     ]
-    bounds = df.agg(*sketch).first()
+    bounds = df.selectExpr(*sketch).first()
     tallies = []
     for i, s in enumerate(open_searches):
-        x, (low, high) = s.bracket(), bounds[f"s{i}"]
+        x, (low, high) = s.bracket(), map(number, bounds[f"s{i}"])
         tallies += [
-            F.count_if(x < low).alias(f"under{i}"),
-            F.count_if(x == low).alias(f"low{i}"),
-            F.count_if((x > low) & (x < high)).alias(f"between{i}"),
-            F.count_if(x == high).alias(f"high{i}"),
+            f"count_if({x} < {low}) AS under{i}",
+            f"count_if({x} = {low}) AS low{i}",
+            f"count_if({x} > {low} AND {x} < {high}) AS between{i}",
+            f"count_if({x} = {high}) AS high{i}",
         ]
-    row = df.agg(*tallies).first()
+    row = df.selectExpr(*tallies).first()
     for i, s in enumerate(open_searches):
         low, high = bounds[f"s{i}"]
         under, at_low, between = row[f"under{i}"], row[f"low{i}"], row[f"between{i}"]
@@ -92,8 +94,8 @@ def exact_medians(
     cols = list(dict.fromkeys(cols))
     if not cols:
         return {}
-    df = df.select(*[F.col(f"`{c}`") for c in cols])
-    counts = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    df = df.select(*map(quoted, cols))
+    counts = df.selectExpr(*[f"count({_number(c)}) AS n{i}" for i, c in enumerate(cols)]).first()
     searches = [
         _Search(c, rank, inside=counts[f"n{i}"])
         for i, c in enumerate(cols)
@@ -105,8 +107,8 @@ def exact_medians(
     near = [s for s in searches if s.value is None]
     brackets = list({(s.column, s.lo, s.hi): s for s in near}.values())
     if brackets:
-        row = df.agg(
-            *[F.sort_array(F.collect_list(s.bracket())).alias(f"v{i}") for i, s in enumerate(brackets)]
+        row = df.selectExpr(
+            *[f"sort_array(collect_list({s.bracket()})) AS v{i}" for i, s in enumerate(brackets)]
         ).first()
         values = {(s.column, s.lo, s.hi): row[f"v{i}"] for i, s in enumerate(brackets)}
         for s in near:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import round_half_away
+from ..functions import quoted, round_half_away, with_exprs
 
 
 def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
@@ -17,7 +17,8 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
 
 def leaderboard(df: DataFrame, by: str, name: str, digits: int = 4) -> DataFrame:
     """Rounded metric, best first."""
-    return df.withColumn(by, round_half_away(by, digits)).orderBy(F.desc_nulls_last(by), F.asc(name))
+    rounded = with_exprs(df, {by: round_half_away(quoted(by), digits)})
+    return rounded.orderBy(F.desc_nulls_last(by), F.asc(name))
 
 
 def argmax(df: DataFrame, by: str, prefer_low: str, groups: Sequence[str] = ()) -> DataFrame:

@@ -12,10 +12,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import HashOrder, xxhash_order
+from ..functions import HashOrder, quoted, text, with_exprs, xxhash_order
 
 SETTLE_ROWS = 10_000  # a hash range of at most this many rows is read to find the exact pair
 FANOUT = 1_000
@@ -54,10 +54,30 @@ class _Range:
             return replace(self, k_lo=start, k_hi=end)
         return replace(self, h_lo=start, h_hi=end)
 
-    def holds(self) -> Column:
-        h, k = F.col("_h"), F.col("_k")
-        inside = (h >= self.h_lo) & (h < self.h_hi) & (k >= self.k_lo) & (k < self.k_hi)
-        return inside & F.col("_g").eqNullSafe(F.lit(self.stratum))
+    @property
+    def test(self) -> str:
+        """Holds for the rows of the range, among columns _g, _h and _k."""
+        return (
+            f"_g <=> {_literal(self.stratum)} AND _h >= {self.h_lo}L AND _h < {self.h_hi}L "
+            f"AND _k >= {self.k_lo}L AND _k < {self.k_hi}L"
+        )
+
+    @property
+    def part_number(self) -> str:
+        lo, _ = self.span
+        return f"({'_k' if self.on_key else '_h'} - {lo}L) div {self.step}L"
+
+
+def _literal(value: Stratum) -> str:
+    if value is None:
+        return "NULL"
+    return text(value) if isinstance(value, str) else str(value)
+
+
+def _case(branches: Sequence[tuple[str, object]], otherwise: object = "NULL") -> str:
+    if not branches:
+        return str(otherwise)
+    return f"CASE {' '.join(f'WHEN {test} THEN {then}' for test, then in branches)} ELSE {otherwise} END"
 
 
 @dataclass
@@ -104,15 +124,12 @@ def _cuts(
 
     while wide := [t for t in targets if t.count > SETTLE_ROWS]:
         ranges = list({t.where for t in wide})
-        which, part = F.lit(None).cast("int"), F.lit(None).cast("bigint")
-        for i, w in enumerate(ranges):
-            if w.on_key and w.k_hi - w.k_lo == 1:
-                raise ValueError("the key repeats: exact sampling needs one row per key")
-            offset = F.col("_k" if w.on_key else "_h") - w.span[0]
-            which = F.when(w.holds(), F.lit(i)).otherwise(which)
-            part = F.when(w.holds(), F.floor(offset / F.lit(w.step))).otherwise(part)
+        if any(w.on_key and w.k_hi - w.k_lo == 1 for w in ranges):
+            raise ValueError("the key repeats: exact sampling needs one row per key")
+        which = _case([(w.test, i) for i, w in enumerate(ranges)])
+        part = _case([(w.test, w.part_number) for w in ranges])
         split = (
-            rows.select(which.alias("i"), part.alias("p"))
+            rows.selectExpr(f"{which} AS i", f"{part} AS p")
             .filter("i IS NOT NULL")
             .groupBy("i", "p")
             .count()
@@ -130,11 +147,9 @@ def _cuts(
 
     if targets:
         ranges = list({t.where for t in targets})
-        which = F.lit(None).cast("int")
-        for i, w in enumerate(ranges):
-            which = F.when(w.holds(), F.lit(i)).otherwise(which)
+        which = _case([(w.test, i) for i, w in enumerate(ranges)])
         pairs: dict[int, list[tuple[int, int]]] = {}
-        for r in rows.select(which.alias("i"), "_h", "_k").filter("i IS NOT NULL").collect():
+        for r in rows.selectExpr(f"{which} AS i", "_h", "_k").filter("i IS NOT NULL").collect():
             pairs.setdefault(r["i"], []).append((r["_h"], r["_k"]))
         for members in pairs.values():
             members.sort()
@@ -143,28 +158,26 @@ def _cuts(
     return {g: [found[g, r] for r in wanted] for g, wanted in ranks.items()}
 
 
-def _within(h: Column, key: Column, cut: tuple[int, int] | None) -> Column:
+def _within(h: str, key: str, cut: tuple[int, int] | None) -> str:
     if cut is None:
-        return F.lit(False)
-    return (h < cut[0]) | ((h == cut[0]) & (key <= cut[1]))
+        return "false"
+    return f"({h} < {cut[0]}L OR ({h} = {cut[0]}L AND {key} <= {cut[1]}L))"
 
 
-def _hashed(df: DataFrame, key: str, order: HashOrder, stratum: Column) -> DataFrame:
-    k = F.col(key).cast("bigint")
-    return df.select(stratum.alias("_g"), k.alias("_k"), order.column(k).alias("_h"))
+def _hashed(df: DataFrame, key: str, order: HashOrder, stratum: str) -> DataFrame:
+    k = f"bigint({quoted(key)})"
+    return df.selectExpr(f"{stratum} AS _g", f"{k} AS _k", f"{order.of(k)} AS _h")
 
 
 def take(
     df: DataFrame, label: str | None, quotas: Mapping[Stratum, int], key: str, order: HashOrder
-) -> Column:
+) -> str:
     """A condition that holds for exactly ``quotas[label]`` rows of each label, first in hash order."""
-    stratum = F.lit(0) if label is None else F.col(label)
+    stratum = "0" if label is None else quoted(label)
     cuts = _cuts(_hashed(df, key, order, stratum), order.span, {g: [q] for g, q in quotas.items()})
-    k = F.col(key).cast("bigint")
-    h, keep = order.column(k), F.lit(False)
-    for g, (cut,) in cuts.items():
-        keep = F.when(stratum.eqNullSafe(F.lit(g)), _within(h, k, cut)).otherwise(keep)
-    return keep
+    k = f"bigint({quoted(key)})"
+    branches = [(f"{stratum} <=> {_literal(g)}", _within(order.of(k), k, cut)) for g, (cut,) in cuts.items()]
+    return f"({_case(branches, 'false')})"
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, order: HashOrder | None = None) -> DataFrame:
@@ -208,15 +221,14 @@ def stratified_folds(
         g: [sum(-(-(n - i) // k) for i in range(j)) for j in range(1, k)]
         for g, n in class_counts(df, label).items()
     }
-    cuts = _cuts(_hashed(df, key, order, F.col(label)), order.span, ranks)
-    kk = F.col(key).cast("bigint")
-    h, fold = order.column(kk), F.lit(None).cast("int")
+    cuts = _cuts(_hashed(df, key, order, quoted(label)), order.span, ranks)
+    kk = f"bigint({quoted(key)})"
+    h = order.of(kk)
+    branches = []
     for g, pairs in cuts.items():
-        of_label = F.lit(k - 1)
-        for i in reversed(range(k - 1)):
-            of_label = F.when(_within(h, kk, pairs[i]), F.lit(i)).otherwise(of_label)
-        fold = F.when(F.col(label).eqNullSafe(F.lit(g)), of_label).otherwise(fold)
-    return df.withColumn(out, fold)
+        of_label = _case([(_within(h, kk, pair), i) for i, pair in enumerate(pairs)], k - 1)
+        branches.append((f"{quoted(label)} <=> {_literal(g)}", of_label))
+    return with_exprs(df, {out: f"int({_case(branches)})"})
 
 
 def _two_classes(df: DataFrame, label: str) -> tuple[Stratum, int, Stratum, int]:
@@ -261,8 +273,8 @@ def oversample(
     minor, n_minor, _, n_major = _two_classes(df, label)
     target = max(int(n_major * ratio), n_minor)
     copies, rest = divmod(target, n_minor)
-    extra = take(df, label, {minor: rest}, key, order or xxhash_order(seed)).cast("int")
-    count = F.when(F.col(label) == F.lit(minor), F.lit(copies) + extra).otherwise(F.lit(1))
+    extra = take(df, label, {minor: rest}, key, order or xxhash_order(seed))
+    count = f"CASE WHEN {quoted(label)} = {_literal(minor)} THEN {copies} + int({extra}) ELSE 1 END"
     number = copy_col or "_copy"
-    repeated = df.withColumn(number, F.explode(F.sequence(F.lit(1), count)))
+    repeated = df.selectExpr("*", f"explode(sequence(1, {count})) AS {quoted(number)}")
     return repeated if copy_col else repeated.drop(number)

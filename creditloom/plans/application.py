@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import alignment, cleaning, features
@@ -87,7 +86,7 @@ def mask_gender(df: DataFrame) -> DataFrame:
 
 
 def zero_car_age(df: DataFrame) -> DataFrame:
-    return cleaning.fill_where(df, "OWN_CAR_AGE", F.col("FLAG_OWN_CAR") == "N", 0.0)
+    return cleaning.fill_where(df, "OWN_CAR_AGE", "FLAG_OWN_CAR = 'N'", 0.0)
 
 
 def impute_scores(df: DataFrame, medians: Mapping[str, float] | None = None) -> DataFrame:

@@ -24,18 +24,28 @@ class FeatureTables:
     params: FittedParams
 
 
-def feature_tables(train: DataFrame, test: DataFrame, children: dict[str, DataFrame]) -> FeatureTables:
+def feature_tables(
+    train: DataFrame,
+    test: DataFrame,
+    children: dict[str, DataFrame],
+    k: int | None = None,
+    seed: int = 42,
+    order: HashOrder | None = None,
+) -> FeatureTables:
     """Prepared and joined training and test tables; medians and columns come from training only.
 
     Each split is joined to the child aggregates on its own. The test table gets exactly the
-    feature columns of the training table.
+    feature columns of the training table. With ``k`` the training table carries its stratified
+    fold, found from label and key before the joins, so that the counting passes stay narrow.
     """
     fitted = fit_params(train)
     prepared, fitted = prepare_application(train, fitted, is_train=True)
     scoring, _ = prepare_application(test, fitted, is_train=False)
+    if k is not None:
+        prepared = sampling.stratified_folds(prepared, names.LABEL, k, names.KEY, seed, order)
     full = join_histories(prepared, children)
     aligned = alignment.align_to(
-        join_histories(scoring, children), alignment.without(full.schema, names.LABEL)
+        join_histories(scoring, children), alignment.without(full.schema, names.LABEL, "fold")
     )
     return FeatureTables(full, aligned, fitted)
 
@@ -98,9 +108,8 @@ def run(
     parallelism: int = 1,
 ) -> Reports:
     """The whole job. The joined table and the out-of-fold scores are written once and read often."""
-    tables = feature_tables(train, test, children)
-    folded = sampling.stratified_folds(tables.train, names.LABEL, k, names.KEY, seed, order)
-    features = materialize(folded, "features")
+    tables = feature_tables(train, test, children, k, seed, order)
+    features = materialize(tables.train, "features")
     oof = models.out_of_fold(
         features,
         [spec],
@@ -124,5 +133,5 @@ def flagship(application: DataFrame, bureau: DataFrame) -> DataFrame:
     return joined.groupBy("EXT_SOURCE_MEAN_BIN").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(names.LABEL).alias("default_rate"),
-        F.avg(finite_or_null("BUREAU_DEBT_CREDIT_RATIO")).alias("mean_debt_credit_ratio"),
+        F.avg(F.expr(finite_or_null("BUREAU_DEBT_CREDIT_RATIO"))).alias("mean_debt_credit_ratio"),
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import ratio
 from ..operators.aggregation import HistorySpec, aggregate_to_key, average, highest, rows, tally, total
@@ -11,8 +10,8 @@ from ..operators.joins import join_features
 from . import loan_columns as names
 
 
-def _is(col: str, value: str):
-    return tally(lambda: F.col(col) == value)
+def _is(col: str, value: str) -> str:
+    return tally(f"{col} = '{value}'")
 
 
 BUREAU = HistorySpec(
@@ -21,7 +20,7 @@ BUREAU = HistorySpec(
         "COUNT": rows(),
         "ACTIVE_COUNT": _is("CREDIT_ACTIVE", "Active"),
         "CLOSED_COUNT": _is("CREDIT_ACTIVE", "Closed"),
-        "OVERDUE_COUNT": tally(lambda: F.col("CREDIT_DAY_OVERDUE") > 0),
+        "OVERDUE_COUNT": tally("CREDIT_DAY_OVERDUE > 0"),
         "SUM_CREDIT": total("AMT_CREDIT_SUM"),
         "SUM_DEBT": total("AMT_CREDIT_SUM_DEBT"),
         "MEAN_CREDIT": average("AMT_CREDIT_SUM"),
@@ -64,16 +63,16 @@ PREVIOUS = HistorySpec(
 INSTALLMENTS = HistorySpec(
     prefix="INST_",
     row_metrics={
-        "DAYS_LATE": lambda: F.col("DAYS_ENTRY_PAYMENT") - F.col("DAYS_INSTALMENT"),
-        "PAYMENT_DIFF": lambda: F.col("AMT_PAYMENT") - F.col("AMT_INSTALMENT"),
-        "PAYMENT_RATIO": lambda: ratio("AMT_PAYMENT", "AMT_INSTALMENT"),
+        "DAYS_LATE": "DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT",
+        "PAYMENT_DIFF": "AMT_PAYMENT - AMT_INSTALMENT",
+        "PAYMENT_RATIO": ratio("AMT_PAYMENT", "AMT_INSTALMENT"),
     },
     measures={
         "COUNT": rows(),
         # A payment without a date is neither late nor on time.
-        "LATE_COUNT": tally(lambda: F.col("DAYS_LATE") > 0),
-        "ONTIME_COUNT": tally(lambda: F.col("DAYS_LATE") <= 0),
-        "UNDERPAY_COUNT": tally(lambda: F.col("PAYMENT_DIFF") < 0),
+        "LATE_COUNT": tally("DAYS_LATE > 0"),
+        "ONTIME_COUNT": tally("DAYS_LATE <= 0"),
+        "UNDERPAY_COUNT": tally("PAYMENT_DIFF < 0"),
         "DAYS_LATE_MEAN": average("DAYS_LATE"),
         "DAYS_LATE_MAX": highest("DAYS_LATE"),
         "PAYMENT_DIFF_MEAN": average("PAYMENT_DIFF"),
@@ -89,10 +88,10 @@ INSTALLMENTS = HistorySpec(
 
 POS_CASH = HistorySpec(
     prefix="POS_",
-    row_metrics={"IS_LATE": lambda: F.col("SK_DPD") > 0},
+    row_metrics={"IS_LATE": "SK_DPD > 0"},
     measures={
         "COUNT": rows(),
-        "LATE_COUNT": tally(lambda: F.col("IS_LATE")),
+        "LATE_COUNT": tally("IS_LATE"),
         "MAX_DPD": highest("SK_DPD"),
         "MEAN_DPD": average("SK_DPD"),
         "MEAN_INSTALMENT": average("CNT_INSTALMENT"),
@@ -103,9 +102,7 @@ POS_CASH = HistorySpec(
 CREDIT_CARD = HistorySpec(
     prefix="CC_",
     # One is added to the limit, so a card without a limit needs no special case.
-    row_metrics={
-        "CC_UTILIZATION": lambda: ratio(F.col("AMT_BALANCE"), F.col("AMT_CREDIT_LIMIT_ACTUAL") + 1)
-    },
+    row_metrics={"CC_UTILIZATION": ratio("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL + 1")},
     measures={
         "COUNT": rows(),
         "MEAN_UTILIZATION": average("CC_UTILIZATION"),
@@ -114,7 +111,7 @@ CREDIT_CARD = HistorySpec(
         "TOTAL_DRAWINGS": total("AMT_DRAWINGS_CURRENT"),
         "MAX_DPD": highest("SK_DPD"),
         "MEAN_DPD": average("SK_DPD"),
-        "LATE_COUNT": tally(lambda: F.col("SK_DPD") > 0),
+        "LATE_COUNT": tally("SK_DPD > 0"),
     },
     ratios={"LATE_RATIO": ("LATE_COUNT", "COUNT", 4)},
 )
