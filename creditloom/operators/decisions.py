@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import edge_index, quoted
+from ..functions import edge_index, number, quoted
 from .evaluation import COUNTS, add_metrics, confusion_counts
 from .quantiles import exact_medians
 from .ranking import argmax
@@ -69,7 +69,7 @@ def sweep_counts(df: DataFrame, label: str, score: str, grid: Sequence[float] =
         return F.sum(F.when(test, F.col(count)).otherwise(F.lit(0)))
 
     return (
-        cells.select("*", F.posexplode(F.lit(grid)).alias("_at", "threshold"))
+        cells.selectExpr("*", f"posexplode(array({', '.join(map(number, grid))})) AS (_at, threshold)")
         .groupBy("threshold")
         .agg(
             sum_where("_n0", ~denied).alias("tn"),

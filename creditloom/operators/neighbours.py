@@ -116,13 +116,13 @@ def _visit(own: DataFrame, slabs: DataFrame, edges: list[float], m: int) -> Data
     ranged = with_slice(with_slice(ranged, "_from", edges, "_first"), "_to", edges, "_last")
     span = F.sequence(F.col("_first").cast("int"), F.col("_last").cast("int"))
     visits = ranged.select(
-        "vid", "x", "reach", F.col("slab").alias("_home"), F.explode(span).cast("double").alias("slab")
-    ).filter(F.col("slab") != F.col("_home"))
-    load = {int(r["slab"]): r["count"] for r in visits.groupBy("slab").count().collect()}
+        "vid", "x", "reach", F.col("slab").cast("int").alias("_home"), F.explode(span).alias("slab")
+    ).filter("slab <> _home")
+    load = {r["slab"]: r["count"] for r in visits.groupBy("slab").count().collect()}
     tasks = F.lit([-(-load.get(i, 0) // VISITORS_PER_TASK) for i in range(len(edges) + 1)])
     parts = F.element_at(tasks, F.col("slab").cast("int") + 1)
     visits = visits.withColumn("part", F.pmod(F.xxhash64("vid"), parts).cast("int"))
-    residents = slabs.withColumn("_parts", parts).filter("_parts > 0")
+    residents = slabs.withColumn("slab", F.col("slab").cast("int")).withColumn("_parts", parts).filter("_parts > 0")
     residents = residents.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
 
     def search(visitors: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:

@@ -9,22 +9,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import number, quoted
+
 ROWS_PER_SLICE = 250_000
 MAX_SLICES = 1_000
 
 
-def slice_edges(df: DataFrame, col: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
+def slice_edges(df: DataFrame, col: str, rows_per_slice: int | None = None) -> list[float]:
     """Values that cut ``col`` into slices of about equal size; one pass with a bounded sketch."""
-    shares = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
-    x = F.col(col).cast("double")
-    n, cuts = df.agg(
-        F.count(x), F.percentile_approx(F.when(~F.isnan(x), x), shares, 10 * MAX_SLICES)
+    shares = ", ".join(number(i / MAX_SLICES) for i in range(1, MAX_SLICES))
+    x = f"double({quoted(col)})"
+    n, cuts = df.selectExpr(
+        f"count({x})",
+        f"percentile_approx(CASE WHEN NOT isnan({x}) THEN {x} END, array({shares}), {10 * MAX_SLICES})",
     ).first()
-    slices = min(MAX_SLICES, -(-n // rows_per_slice))
+    slices = min(MAX_SLICES, -(-n // (rows_per_slice or ROWS_PER_SLICE)))
     if slices <= 1:
         return []
-    step = MAX_SLICES / slices
-    return sorted({cuts[int(i * step) - 1] for i in range(1, slices)})
+    return sorted({cuts[i * MAX_SLICES // slices - 1] for i in range(1, slices)})
 
 
 def with_slice(df: DataFrame, col: str, edges: Sequence[float], out: str) -> DataFrame:
