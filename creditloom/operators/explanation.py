@@ -125,9 +125,12 @@ def adverse_actions(
                 )
             )
     cited = F.slice(F.array_sort(F.filter(F.array(*entries), lambda e: e["minus"] < 0)), 1, k)
+    # The test on the score sits inside the generator, in its outer form: as a filter of its own it
+    # would be pushed below the joins with the whole feature arithmetic copied into it.
+    denied = F.when(F.col(score) >= F.lit(threshold), cited)
     return (
-        df.filter(F.col(score) >= F.lit(threshold))
-        .select(key, F.posexplode(cited).alias("_at", "_r"))
+        df.select(key, F.posexplode_outer(denied).alias("_at", "_r"))
+        .filter("_at IS NOT NULL")
         .select(
             key,
             (F.col("_at") + 1).alias("rank"),

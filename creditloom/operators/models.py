@@ -191,12 +191,12 @@ def fit_model(
     return fit_encoded(spec, encoder, rows, label, key)
 
 
-def _run(tasks: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
+def _run(spark: SparkSession, tasks: Iterable[Callable[[], Any]], parallelism: int) -> list[Any]:
     tasks = list(tasks)
     if parallelism <= 1 or len(tasks) <= 1:
         return [t() for t in tasks]
     with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda t: inheritable_thread_target(t)(), tasks)
+        return pool.map(lambda t: inheritable_thread_target(spark)(t)(), tasks)
 
 
 def out_of_fold(
@@ -215,7 +215,7 @@ def out_of_fold(
     Preprocessing is fitted on the training part of each fold, once for all models that share a
     feature list. Fits run side by side up to ``parallelism``.
     """
-    kept = list(dict.fromkeys([fold, key, label, *keep]))
+    spark, kept = df.sparkSession, list(dict.fromkeys([fold, key, label, *keep]))
     learned = [s for s in specs if s.learner is not None]
     lists = list(dict.fromkeys(None if s.features is None else tuple(s.features) for s in learned))
 
@@ -226,7 +226,7 @@ def out_of_fold(
         return encoder, rows, materialize(held, "held") if sharing > 1 else held
 
     parts = [(f, i) for f in lists for i in range(k)]
-    encoded = dict(zip(parts, _run([lambda f=f, i=i: encode(f, i) for f, i in parts], parallelism)))
+    encoded = dict(zip(parts, _run(spark, [lambda f=f, i=i: encode(f, i) for f, i in parts], parallelism)))
 
     def held_out(spec: ModelSpec, i: int) -> DataFrame:
         if spec.learner is None:
@@ -240,7 +240,7 @@ def out_of_fold(
         return scored.withColumn("model", F.lit(spec.name))
 
     fits = [lambda s=s, i=i: held_out(s, i) for s in specs for i in range(k)]
-    return reduce(DataFrame.unionByName, _run(fits, parallelism))
+    return reduce(DataFrame.unionByName, _run(spark, fits, parallelism))
 
 
 def fold_metrics(oof: DataFrame, label: str, fold: str = "fold") -> DataFrame:
