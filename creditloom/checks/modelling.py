@@ -136,9 +136,9 @@ def top_features(spark, sf):
 
 @check("s4_submission")
 def submission(spark, sf):
-    tables = _tables(spark, sf)
+    tables = _tables(spark, sf).written()
     spec = _small(tables.train.columns)["lr_external"]
-    model = models.fit_model(spec, materialize(tables.train.drop("fold"), "features"), Y, KEY)
+    model = models.fit_model(spec, tables.train.drop("fold"), Y, KEY)
     return score_table(model.score(tables.test, [KEY]), KEY, "SCORE", Y)
 
 

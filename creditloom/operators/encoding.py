@@ -17,7 +17,7 @@ from .quantiles import exact_medians
 
 DRIVER_LEVELS = 10_000  # categories over all columns that may be held as plain values
 LITERAL_LEVELS = 256  # categories of one column that may sit in the plan as an array
-BROADCAST_LEVELS = 100_000
+BROADCAST_CHARS = 5_000_000  # text that the categories of one column may hold to be broadcast
 
 
 def fit_imputer(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
@@ -72,7 +72,6 @@ class OrdinalFit:
 
     levels: Mapping[str, tuple[str, ...]]
     tables: Mapping[str, DataFrame] = field(default_factory=dict)
-    sizes: Mapping[str, int] = field(default_factory=dict)
 
 
 def _level_table(levels: DataFrame) -> DataFrame:
@@ -101,14 +100,15 @@ def fit_ordinal(
     for r in counts.filter(F.col("col").isin(small)).select("col", "level").collect():
         levels[r["col"]].add(r["level"])
     tables = {c: _level_table(counts.filter(F.col("col") == c).select("level")) for c in cols if c not in levels}
-    return OrdinalFit({c: tuple(sorted(v)) for c, v in levels.items()}, tables, sizes)
+    return OrdinalFit({c: tuple(sorted(v)) for c, v in levels.items()}, tables)
 
 
 def apply_ordinal(df: DataFrame, fit: OrdinalFit, modes: Mapping[str, str | None] | None = None) -> DataFrame:
     """Replace each category by its position as double, -1 for one not seen in fitting.
 
-    Null takes the mode first where ``modes`` has one. Few categories sit in the plan itself; more
-    are joined, with a broadcast only below a checked number of them.
+    Null takes the mode first where ``modes`` has one. Few categories sit in the plan itself. More
+    are joined: those held as plain values are broadcast if their text is short enough, those kept
+    as a table are left to Spark, which knows the table's size.
     """
     spark, modes = df.sparkSession, modes or {}
 
@@ -128,8 +128,8 @@ def apply_ordinal(df: DataFrame, fit: OrdinalFit, modes: Mapping[str, str | None
         if table is None:
             rows = [(v, i) for i, v in enumerate(fit.levels[c])]
             table = spark.createDataFrame(rows, "level string, at bigint")
-        if fit.sizes.get(c, 0) <= BROADCAST_LEVELS:
-            table = F.broadcast(table)
+            if sum(map(len, fit.levels[c])) <= BROADCAST_CHARS:
+                table = F.broadcast(table)
         places = table.selectExpr("level AS _level", "double(at) AS _at")
         out = with_exprs(out, {"_level": filled(c)}).join(places, "_level", "left")
         found = "CASE WHEN _level IS NOT NULL THEN coalesce(_at, -1D) END"

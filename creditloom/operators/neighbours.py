@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import HashOrder, xxhash_order
+from ..functions import HashOrder, number, quoted, xxhash_order
 from ..session import materialize
 from .running import slice_edges, with_slice
 from .sampling import _two_classes, take
 
 SLAB_ROWS = 4_096
+MAX_SLABS = 10_000
+HOT_ENTRIES = 1_000
 VISITORS_PER_TASK = 20_000
 _BLOCK_CELLS = 2_000_000
 
@@ -43,9 +45,13 @@ def _stack(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
 
-def nearest_neighbours(
-    df: DataFrame, key: str, x: str, k: int, slab_rows: int = SLAB_ROWS
-) -> DataFrame:
+def _direction(width: int) -> list[float]:
+    # A fixed direction that no natural feature combination is constant along.
+    w = np.random.default_rng(7).normal(size=width)
+    return (w / np.sqrt((w**2).sum())).tolist()
+
+
+def nearest_neighbours(df: DataFrame, key: str, x: str, k: int, slab_rows: int = SLAB_ROWS) -> DataFrame:
     """The ``k`` nearest other rows of each row: (key, rank, neighbour, distance), ties by key.
 
     Exact without comparing all pairs. Rows are cut into slabs along one direction; a row first
@@ -56,26 +62,42 @@ def nearest_neighbours(
     several tasks. The work still grows faster than the rows where the data has no shape that the
     direction can show.
     """
+    return (
+        neighbour_lists(df, key, x, k, slab_rows)
+        .select(key, F.posexplode("near").alias("at", "n"))
+        .select(key, (F.col("at") + 1).alias("rank"), "n.neighbour", "n.distance")
+    )
+
+
+def neighbour_lists(df: DataFrame, key: str, x: str, k: int, slab_rows: int = SLAB_ROWS) -> DataFrame:
+    """As :func:`nearest_neighbours`, as one array ``near`` of (distance, neighbour) per row."""
     m = k + 1
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(x).alias("x"))
+    first = rows.first()
+    if first is None:
+        return df.selectExpr(quoted(key), "CAST(NULL AS array<struct<distance:double,neighbour:bigint>>) AS near")
     by_vector = Window.partitionBy("x").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
-    shadow = F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / F.sqrt(F.size("x").cast("double"))
+    weights = ", ".join(map(number, _direction(len(first["x"]))))
+    shadow = f"aggregate(zip_with(x, array({weights}), (v, w) -> v * w), 0D, (a, v) -> a + v)"
+    # Spark keeps only the first m copies on the map side already.
     copies = materialize(
         rows.select("*", F.row_number().over(by_vector).alias("copy"), F.min("key").over(by_vector).alias("vid"))
         .filter(F.col("copy") <= m)
-        .withColumn("p", shadow),
+        .selectExpr("*", f"{shadow} AS p"),
         "vectors",
     )
-    edges = slice_edges(copies, "p", slab_rows)
+    edges = slice_edges(copies, "p", slab_rows, MAX_SLABS)
     slabs = with_slice(copies, "p", edges, "slab")
 
     def search_own(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key", kind="stable")
         asks = pdf[pdf["copy"] == 1]
-        found = _nearest(
-            np.arange(len(asks)), _stack(asks["x"]), pdf["key"].to_numpy(), _stack(pdf["x"]), m
-        )
-        lists = [(keys, distances) for _, keys, distances in found]
+        lists = []
+        if len(asks):
+            found = _nearest(
+                np.arange(len(asks)), _stack(asks["x"]), pdf["key"].to_numpy(), _stack(pdf["x"]), m
+            )
+            lists = [(keys, distances) for _, keys, distances in found]
         return asks[["vid", "x", "p", "slab"]].assign(
             keys=[a for a, _ in lists],
             distances=[b for _, b in lists],
@@ -100,14 +122,25 @@ def nearest_neighbours(
         .groupBy("vid")
         .agg(F.sort_array(F.collect_list(pair)).alias("near"))
     )
-    vectors = rows.groupBy("x").agg(F.min("key").alias("vid"))
+    vectors = rows.groupBy("x").agg(F.min("key").alias("vid"), F.count("*").alias("n"))
+    found = _look_up(rows, materialize(vectors.join(nearest, "vid").drop("vid"), "nearest"), "x", "n")
     others = F.slice(F.filter("near", lambda n: n["neighbour"] != F.col("key")), 1, k)
-    return (
-        rows.join(vectors, "x")
-        .join(nearest, "vid")
-        .select(F.col("key").alias(key), F.posexplode(others).alias("at", "n"))
-        .select(key, (F.col("at") + 1).alias("rank"), "n.neighbour", "n.distance")
-    )
+    return found.select(F.col("key").cast(df.schema[key].dataType).alias(key), others.alias("near"))
+
+
+def _look_up(rows: DataFrame, table: DataFrame, on: str, n: str) -> DataFrame:
+    """Join each row to its one entry, where some entries have a large share of the rows.
+
+    ``n`` counts the rows of an entry. Fewer than ``HOT_ENTRIES`` entries can have more than
+    that fraction of all rows each, so those are broadcast; the rest meet by a shuffle without them.
+    """
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = table.filter(F.col(n) > F.lit(total / HOT_ENTRIES))
+    light = table.filter(F.col(n) <= F.lit(total / HOT_ENTRIES))
+    if total < HOT_ENTRIES or hot.isEmpty():
+        return rows.join(table, on)
+    cold = rows.join(F.broadcast(hot.select(on)), on, "left_anti").join(light, on)
+    return rows.join(F.broadcast(hot), on).unionByName(cold)
 
 
 def _visit(own: DataFrame, slabs: DataFrame, edges: list[float], m: int) -> DataFrame:
@@ -183,11 +216,7 @@ def smote(
         raise ValueError("one minority row has no minority neighbour")
     minority = df.filter(F.col(label) == F.lit(minor)).select(key, label, x)
     space = _standardised(minority, x) if standardise else minority
-    near = (
-        nearest_neighbours(space, key, x, k)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "neighbour")))["neighbour"].alias("_near"))
-    )
+    near = neighbour_lists(space, key, x, k).selectExpr(quoted(key), "near.neighbour AS _near")
     copies, rest = divmod(need, n_minor)
     extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed))
     starts = (

@@ -105,14 +105,16 @@ def exact_medians(
     while wide := [s for s in searches if s.value is None and s.inside > settle_values]:
         _narrow(df, wide)
     near = [s for s in searches if s.value is None]
-    brackets = list({(s.column, s.lo, s.hi): s for s in near}.values())
-    if brackets:
+    if near:
+        # Spark computes a bracket that two ranks share once; only the wanted values come back.
         row = df.selectExpr(
-            *[f"sort_array(collect_list({s.bracket()})) AS v{i}" for i, s in enumerate(brackets)]
+            *[
+                f"get(sort_array(collect_list({s.bracket()})), {s.rank - s.below}) AS v{i}"
+                for i, s in enumerate(near)
+            ]
         ).first()
-        values = {(s.column, s.lo, s.hi): row[f"v{i}"] for i, s in enumerate(brackets)}
-        for s in near:
-            s.value = values[(s.column, s.lo, s.hi)][s.rank - s.below]
+        for i, s in enumerate(near):
+            s.value = row[f"v{i}"]
     medians: dict[str, float | None] = dict.fromkeys(cols)
     for c in cols:
         middle = [s.value for s in searches if s.column == c]

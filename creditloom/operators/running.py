@@ -15,18 +15,20 @@ ROWS_PER_SLICE = 250_000
 MAX_SLICES = 1_000
 
 
-def slice_edges(df: DataFrame, col: str, rows_per_slice: int | None = None) -> list[float]:
+def slice_edges(
+    df: DataFrame, col: str, rows_per_slice: int | None = None, max_slices: int = MAX_SLICES
+) -> list[float]:
     """Values that cut ``col`` into slices of about equal size; one pass with a bounded sketch."""
-    shares = ", ".join(number(i / MAX_SLICES) for i in range(1, MAX_SLICES))
+    shares = ", ".join(number(i / max_slices) for i in range(1, max_slices))
     x = f"double({quoted(col)})"
     n, cuts = df.selectExpr(
         f"count({x})",
-        f"percentile_approx(CASE WHEN NOT isnan({x}) THEN {x} END, array({shares}), {10 * MAX_SLICES})",
+        f"percentile_approx(CASE WHEN NOT isnan({x}) THEN {x} END, array({shares}), {10 * max_slices})",
     ).first()
-    slices = min(MAX_SLICES, -(-n // (rows_per_slice or ROWS_PER_SLICE)))
+    slices = min(max_slices, -(-n // (rows_per_slice or ROWS_PER_SLICE)))
     if slices <= 1:
         return []
-    return sorted({cuts[i * MAX_SLICES // slices - 1] for i in range(1, slices)})
+    return sorted({cuts[i * max_slices // slices - 1] for i in range(1, slices)})
 
 
 def with_slice(df: DataFrame, col: str, edges: Sequence[float], out: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import HashOrder, finite_or_null
+from ..functions import HashOrder, finite_or_null, with_exprs
 from ..operators import alignment, decisions, evaluation, fairness, models, sampling
 from ..operators.models import FittedModel, ModelSpec
 from ..session import materialize
@@ -19,10 +19,23 @@ from .history import join_histories
 
 @dataclass(frozen=True)
 class FeatureTables:
-    train: DataFrame
-    test: DataFrame
+    """Applicants of both splits with their features, ``split`` telling them apart."""
+
+    joined: DataFrame
     params: FittedParams
 
+    @property
+    def train(self) -> DataFrame:
+        return self.joined.filter("split = 'train'").drop("split")
+
+    @property
+    def test(self) -> DataFrame:
+        return self.joined.filter("split = 'test'").drop("split", names.LABEL, "fold")
+
+    def written(self) -> FeatureTables:
+        """The same, written once: the child tables are read and joined once for both splits."""
+        return FeatureTables(materialize(self.joined, "features"), self.params)
+
 
 def feature_tables(
     train: DataFrame,
@@ -32,22 +45,20 @@ def feature_tables(
     seed: int = 42,
     order: HashOrder | None = None,
 ) -> FeatureTables:
-    """Prepared and joined training and test tables; medians and columns come from training only.
+    """Prepare both splits and join the child aggregates to them together.
 
-    Each split is joined to the child aggregates on its own. The test table gets exactly the
-    feature columns of the training table. With ``k`` the training table carries its stratified
-    fold, found from label and key before the joins, so that the counting passes stay narrow.
+    Medians and columns come from training only; the test rows get exactly the feature columns of
+    the training table. With ``k`` the training rows carry their stratified fold, found from label
+    and key before the joins, so that the counting passes stay narrow.
     """
     fitted = fit_params(train)
     prepared, fitted = prepare_application(train, fitted, is_train=True)
     scoring, _ = prepare_application(test, fitted, is_train=False)
     if k is not None:
         prepared = sampling.stratified_folds(prepared, names.LABEL, k, names.KEY, seed, order)
-    full = join_histories(prepared, children)
-    aligned = alignment.align_to(
-        join_histories(scoring, children), alignment.without(full.schema, names.LABEL, "fold")
-    )
-    return FeatureTables(full, aligned, fitted)
+    scoring = alignment.align_to(scoring, prepared.schema)
+    both = with_exprs(prepared, {"split": "'train'"}).unionByName(with_exprs(scoring, {"split": "'test'"}))
+    return FeatureTables(join_histories(both, children), fitted)
 
 
 @dataclass
@@ -108,8 +119,8 @@ def run(
     parallelism: int = 1,
 ) -> Reports:
     """The whole job. The joined table and the out-of-fold scores are written once and read often."""
-    tables = feature_tables(train, test, children, k, seed, order)
-    features = materialize(tables.train, "features")
+    tables = feature_tables(train, test, children, k, seed, order).written()
+    features = tables.train
     oof = models.out_of_fold(
         features,
         [spec],

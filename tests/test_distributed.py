@@ -235,3 +235,22 @@ def test_smote_leaves_a_balanced_table(spark):
     rows = [(i, i % 2, [float(i)]) for i in range(20)]
     df = spark.createDataFrame(rows, "id bigint, y int, x array<double>")
     assert neighbours.smote(df, "y", "id").filter("synthetic").isEmpty()
+
+
+def test_hot_vectors_take_the_broadcast_path(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "HOT_ENTRIES", 4)
+    points = _points(150)
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "id bigint, x array<double>")
+    got = neighbours.nearest_neighbours(df, "id", "x", 4, 60)
+    assert {tuple(r) for r in got.collect()} == _brute(points, 4)
+    assert neighbours.nearest_neighbours(df.limit(0), "id", "x", 4).isEmpty()
+
+
+def test_copies_are_thinned_before_the_shuffle(spark):
+    from pyspark.sql.window import Window
+
+    df = spark.createDataFrame([(1, [0.0])], "key bigint, x array<double>")
+    w = Window.partitionBy("x").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    kept = df.select("*", F.row_number().over(w).alias("copy"), F.min("key").over(w).alias("vid")).filter("copy <= 6")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")

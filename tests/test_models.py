@@ -37,7 +37,8 @@ def test_ordinal_paths_agree(spark, monkeypatch):
     limit = 10
     fit, got = run()
     assert set(fit.tables) == {"a"} and got == want
-    monkeypatch.setattr(encoding, "BROADCAST_LEVELS", 1)
+    limit = 1000
+    monkeypatch.setattr(encoding, "BROADCAST_CHARS", 1)
     assert run()[1] == want
 
 
