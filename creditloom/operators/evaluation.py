@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .running import running_before, slice_edges
+from .running import before_in_slice, before_slice, running_before, slice_edges, with_slice
 
 COUNTS = ("tn", "fp", "fn", "tp")
 
@@ -84,11 +84,18 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = (), bins: int
     first, which bounds the number of distinct scores.
     """
     rows = _labelled(df, label, score, by, bins)
-    edges = slice_edges(rows, "_s")
-    ranked = running_before(_score_counts(rows, by), "_s", {"_below": "_neg"}, edges, by)
+    sliced = with_slice(_score_counts(rows, by), "_s", slice_edges(rows, "_s"), "_slice")
+    ranked = before_in_slice(sliced, "_s", {"_below": "_neg"}, by)
+    # Pairs won inside a slice; those won against smaller slices follow from the slice totals.
     won = F.col("_pos") * (F.col("_below") + F.col("_neg") / 2.0)
-    pairs = F.sum(F.col("_pos").cast("double")) * F.sum(F.col("_neg").cast("double"))
-    return ranked.groupBy(*by).agg(F.try_divide(F.sum(won), pairs).alias("auc"))
+    slices = ranked.groupBy(*by, "_slice").agg(
+        F.sum(won).alias("_won"),
+        F.sum("_pos").cast("double").alias("_pos"),
+        F.sum("_neg").cast("double").alias("_neg"),
+    )
+    summed = before_slice(slices, {"_before": "_neg"}, by)
+    all_won = F.sum(F.col("_won") + F.col("_pos") * F.col("_before"))
+    return summed.groupBy(*by).agg(F.try_divide(all_won, F.sum("_pos") * F.sum("_neg")).alias("auc"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:

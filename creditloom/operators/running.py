@@ -39,6 +39,18 @@ def with_slice(df: DataFrame, col: str, edges: Sequence[float], out: str) -> Dat
     return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def before_in_slice(sliced: DataFrame, order: str, sums: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """Add the sum of each ``sums`` column over the rows of the same slice with a smaller ``order``."""
+    rows = Window.partitionBy(*by, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return sliced.withColumns({out: F.coalesce(F.sum(c).over(rows), F.lit(0)) for out, c in sums.items()})
+
+
+def before_slice(totals: DataFrame, sums: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """The same over the smaller slices, for a table of one row per slice."""
+    slices = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({out: F.coalesce(F.sum(c).over(slices), F.lit(0)) for out, c in sums.items()})
+
+
 def running_before(
     df: DataFrame, order: str, sums: Mapping[str, str], edges: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -49,23 +61,13 @@ def running_before(
     """
     keys = [*by, "_slice"]
     sliced = with_slice(df, order, edges, "_slice")
-    across = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*keys)
-        .agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
-        .select(
-            *keys,
-            *[F.coalesce(F.sum(f"_t_{out}").over(across), F.lit(0)).alias(f"_o_{out}") for out in sums],
-        )
-    )
+    ranked = before_in_slice(sliced, order, sums, by)
+    if not edges:
+        return ranked.drop("_slice")
+    totals = sliced.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{out}") for out, c in sums.items()])
+    offsets = before_slice(totals, {f"_o_{out}": f"_t_{out}" for out in sums}, by)
     return (
-        sliced.join(offsets, keys)
-        .withColumns(
-            {
-                out: F.col(f"_o_{out}") + F.coalesce(F.sum(c).over(within), F.lit(0))
-                for out, c in sums.items()
-            }
-        )
+        ranked.join(offsets.select(*keys, *[f"_o_{out}" for out in sums]), keys)
+        .withColumns({out: F.col(out) + F.col(f"_o_{out}") for out in sums})
         .drop("_slice", *[f"_o_{out}" for out in sums])
     )
