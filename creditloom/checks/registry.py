@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType
 
 from ..functions import finite_or_null, portable_order, quoted, round_half_away, with_exprs
+from ..session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +25,7 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = query
+        QUERIES[name] = lambda spark, sf_dir: query(tune(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return query

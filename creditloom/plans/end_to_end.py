@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import HashOrder, finite_or_null, with_exprs
 from ..operators import alignment, decisions, evaluation, fairness, models, sampling
 from ..operators.models import FittedModel, ModelSpec
-from ..session import materialize
+from ..session import materialize, tune
 from ..sources import score_table
 from . import loan_columns as names
 from .application import FittedParams, fit_params, prepare_application
@@ -119,6 +119,7 @@ def run(
     parallelism: int = 1,
 ) -> Reports:
     """The whole job. The joined table and the out-of-fold scores are written once and read often."""
+    tune(train.sparkSession)
     tables = feature_tables(train, test, children, k, seed, order).written()
     features = tables.train
     oof = models.out_of_fold(
