@@ -6,11 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import number, quoted
 
 SETTLE_VALUES = 10_000  # a bracket of at most this many values is read and sorted
-SKETCH_ACCURACY = 10_000
+SKETCH_STEPS = 500  # each pass narrows a bracket to about three of so many steps
+SKETCH_ACCURACY = 2_500
+BRACKETS_PER_PASS = 100  # below the group count at which Spark sorts instead of hashing sketches
 
 
 @dataclass
@@ -40,45 +43,48 @@ def _number(column: str) -> str:
     return f"(CASE WHEN NOT isnan({x}) THEN {x} END)"
 
 
-def _middle(x: str, share: float) -> str:
-    # A sketch of bounded size, narrowed to a little more than its guaranteed rank error.
-    slack = 2.0 / SKETCH_ACCURACY
-    low, high = (min(max(share + d, 0.0), 1.0) for d in (-slack, slack))
-    return f"percentile_approx({x}, array({number(low)}, {number(high)}), {SKETCH_ACCURACY})"
-
-
-def _narrow(df: DataFrame, open_searches: list[_Search]) -> None:
-    sketch = [
-        f"{_middle(s.bracket(), (s.rank - s.below) / max(s.inside - 1, 1))} AS s{i}"
-        for i, s in enumerate(open_searches)
-    ]
-    bounds = df.selectExpr(*sketch).first()
-    tallies = []
-    for i, s in enumerate(open_searches):
-        x, (low, high) = s.bracket(), map(number, bounds[f"s{i}"])
-        tallies += [
-            f"count_if({x} < {low}) AS under{i}",
-            f"count_if({x} = {low}) AS low{i}",
-            f"count_if({x} > {low} AND {x} < {high}) AS between{i}",
-            f"count_if({x} = {high}) AS high{i}",
-        ]
-    row = df.selectExpr(*tallies).first()
-    for i, s in enumerate(open_searches):
-        low, high = bounds[f"s{i}"]
-        under, at_low, between = row[f"under{i}"], row[f"low{i}"], row[f"between{i}"]
-        at_high = row[f"high{i}"] if high > low else 0
-        want = s.rank - s.below
-        if want < under:
-            s.hi, s.inside = low, under
-        elif want < under + at_low:
-            s.value = low
-        elif want < under + at_low + between:
-            s.lo, s.hi, s.below, s.inside = low, high, s.below + under + at_low, between
-        elif want < under + at_low + between + at_high:
-            s.value = high
-        else:
-            passed = under + at_low + between + at_high
-            s.lo, s.below, s.inside = high, s.below + passed, s.inside - passed
+def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+    # One row per (bracket, value), so each bracket has a reducer of its own and the generated code
+    # stays small however many columns there are.
+    brackets: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        brackets.setdefault((s.column, s.lo, s.hi), []).append(s)
+    members = list(brackets.values())
+    pairs = ", ".join(f"struct({i} AS i, {m[0].bracket()} AS x)" for i, m in enumerate(members))
+    values = df.selectExpr(f"inline(array({pairs}))").filter("x IS NOT NULL")
+    shares = ", ".join(number(j / SKETCH_STEPS) for j in range(SKETCH_STEPS + 1))
+    sketch = F.expr(f"percentile_approx(x, array({shares}), {SKETCH_ACCURACY}) AS steps")
+    steps = {r["i"]: r["steps"] for r in values.groupBy("i").agg(sketch).collect()}
+    bounds = []
+    for i, m in enumerate(members):
+        at = [(s.rank - s.below) * SKETCH_STEPS / max(s.inside - 1, 1) for s in m]
+        low, high = steps[i][max(int(min(at)) - 1, 0)], steps[i][min(int(max(at)) + 2, SKETCH_STEPS)]
+        bounds.append((low, high))
+    low, high = (f"get(array({', '.join(number(b[side]) for b in bounds)}), i)" for side in (0, 1))
+    counted = values.groupBy("i").agg(
+        F.expr(f"count_if(x < {low}) AS under"),
+        F.expr(f"count_if(x = {low}) AS at_low"),
+        F.expr(f"count_if(x > {low} AND x < {high}) AS between"),
+        F.expr(f"count_if(x = {high} AND x > {low}) AS at_high"),
+    )
+    for r in counted.collect():
+        for s in members[r["i"]]:
+            _settle(s, *bounds[r["i"]], r["under"], r["at_low"], r["between"], r["at_high"])
+
+
+def _settle(s: _Search, low: float, high: float, under: int, at_low: int, between: int, at_high: int) -> None:
+    want = s.rank - s.below
+    if want < under:
+        s.hi, s.inside = low, under
+    elif want < under + at_low:
+        s.value = low
+    elif want < under + at_low + between:
+        s.lo, s.hi, s.below, s.inside = low, high, s.below + under + at_low, between
+    elif want < under + at_low + between + at_high:
+        s.value = high
+    else:
+        passed = under + at_low + between + at_high
+        s.lo, s.below, s.inside = high, s.below + passed, s.inside - passed
 
 
 def exact_medians(
@@ -103,7 +109,8 @@ def exact_medians(
         for rank in sorted({(counts[f"n{i}"] - 1) // 2, counts[f"n{i}"] // 2})
     ]
     while wide := [s for s in searches if s.value is None and s.inside > settle_values]:
-        _narrow(df, wide)
+        for start in range(0, len(wide), BRACKETS_PER_PASS):
+            _narrow(df, wide[start : start + BRACKETS_PER_PASS])
     near = [s for s in searches if s.value is None]
     if near:
         # Spark computes a bracket that two ranks share once; only the wanted values come back.

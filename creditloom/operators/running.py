@@ -23,7 +23,7 @@ def slice_edges(
     x = f"double({quoted(col)})"
     n, cuts = df.selectExpr(
         f"count({x})",
-        f"percentile_approx(CASE WHEN NOT isnan({x}) THEN {x} END, array({shares}), {10 * max_slices})",
+        f"percentile_approx(CASE WHEN NOT isnan({x}) THEN {x} END, array({shares}), {2 * max_slices})",
     ).first()
     slices = min(max_slices, -(-n // (rows_per_slice or ROWS_PER_SLICE)))
     if slices <= 1:
