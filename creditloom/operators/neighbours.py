@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,6 +17,10 @@ from ..session import materialize
 from .running import slice_edges, with_slice
 from .sampling import _two_classes, take
 
+# Send the search functions themselves to the executors, so that this package need not be
+# installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SLAB_ROWS = 4_096
 MAX_SLABS = 10_000
 HOT_ENTRIES = 1_000

@@ -254,3 +254,9 @@ def test_copies_are_thinned_before_the_shuffle(spark):
     kept = df.select("*", F.row_number().over(w).alias("copy"), F.min("key").over(w).alias("vid")).filter("copy <= 6")
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_search_functions_travel_with_the_job():
+    from pyspark import cloudpickle
+
+    assert neighbours.__name__ in cloudpickle.list_registry_pickle_by_value()
