@@ -139,7 +139,7 @@ def near_duplicates(
     share: tuple[int, int] = (80, 100),
     n_orders: int = ORDERS,
     depth: int = 4,
-    full_depth: int = 8,
+    full_depth: int = 10,
     reach: int = 16,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
@@ -160,20 +160,25 @@ def near_duplicates(
     signed = sets.where("node IS NOT NULL").select("node", "doc_id", "signature")
     reps = materialize(signed.join(reps, ["node", "doc_id"]).dropDuplicates(["node"]), "signatures")
 
-    links = None
-    roots = reps.selectExpr("node", "node AS root")
-    for distance in (1, reach):
-        known = reps.drop("doc_id") if links is None else reps.drop("doc_id").join(roots, "node", "left")
-        known = known.withColumn("root", F.coalesce("root", "node")) if links is not None else known.selectExpr("*", "node AS root")
-        forest = materialize(orders(known.select("node", "root", "signature"), n_orders), "forest")
-        ranged = forest.repartitionByRange("order", "key", "node").sortWithinPartitions("order", "key", "node")
-        pairs = neighbours(ranged, distance, depth)
-        if links is not None:
-            pairs = pairs.unionByName(_dense(forest, full_depth, distance)).distinct()
+    links, tried, roots = None, None, None
+    # First the closest neighbours, which connect most of a group of copies; then wider ones among
+    # what is still apart; last the regions that are wider than the widest neighbourhood.
+    for distance in (1, max(1, reach // 4), reach, None):
+        known = reps.select("node", "signature")
+        known = known.join(roots, "node", "left").selectExpr("*", "coalesce(root, node) AS origin") if roots else known.selectExpr("*", "node AS origin")
+        forest = orders(known.selectExpr("node", "origin AS root", "signature"), n_orders)
+        if distance is None:
+            pairs = _dense(forest, full_depth, reach)
+        else:
+            ranged = forest.repartitionByRange("order", "key", "node").sortWithinPartitions("order", "key", "node")
+            pairs = neighbours(ranged, distance, depth)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         new = materialize(confirmed(pairs, _texts(pairs, reps, docs, width), width, share), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
-        if links is new or new.limit(1).count():
+        if roots is None or new.limit(1).count():
             roots = components(links, "roots")
     named = roots.join(reps.select("node", "doc_id"), "node")
     named = named.groupBy("root").agg(F.min("doc_id").alias("component_id")).join(roots, "root").select("node", "component_id")
@@ -196,16 +201,16 @@ def _dense(forest: DataFrame, full_depth: int, reach: int) -> DataFrame:
     In such a region one root holds nearly all sets after the first round; only sets outside
     the largest root are paired with the others, and those inside it not with each other.
     """
-    keyed = forest.selectExpr("order", f"substring(key, 1, {4 * full_depth}) AS lead", "node", "root")
-    sizes = keyed.groupBy("order", "lead", "root").count()
-    regions = sizes.groupBy("order", "lead").agg(
-        F.sum("count").alias("size"), F.count("*").alias("roots"), F.max_by("root", "count").alias("main")
-    )
-    open_ = regions.where(f"size > {reach + 1} AND roots > 1").select("order", "lead", "main")
-    members = materialize(keyed.join(open_, ["order", "lead"]), "dense")
+    keyed = forest.selectExpr("order", f"xxhash64(substring(key, 1, {4 * full_depth})) AS lead", "node", "root")
+    sizes = keyed.groupBy("order", "lead").count().where(f"count > {reach + 1}").select("order", "lead")
+    members = materialize(keyed.join(sizes, ["order", "lead"]), "dense")
+    held = members.groupBy("order", "lead", "root").count()
+    main = held.groupBy("order", "lead").agg(F.max_by("root", "count").alias("main"), F.count("*").alias("roots"))
+    members = members.join(main.where("roots > 1"), ["order", "lead"])
     rest = members.where("root <> main").selectExpr("order", "lead", "node AS x", "root AS rx")
     return (
-        members.join(rest, ["order", "lead"])
+        members.select("order", "lead", "node", "root")
+        .join(rest, ["order", "lead"])
         .where("root <> rx")
         .selectExpr("least(node, x) AS a", "greatest(node, x) AS b")
         .distinct()
