@@ -139,7 +139,7 @@ def near_duplicates(
     share: tuple[int, int] = (80, 100),
     n_orders: int = ORDERS,
     depth: int = 4,
-    full_depth: int = 10,
+    full_depth: int = 8,
     reach: int = 16,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
@@ -168,7 +168,7 @@ def near_duplicates(
         known = known.join(roots, "node", "left").selectExpr("*", "coalesce(root, node) AS origin") if roots else known.selectExpr("*", "node AS origin")
         forest = orders(known.selectExpr("node", "origin AS root", "signature"), n_orders)
         if distance is None:
-            pairs = _dense(forest, full_depth, reach)
+            pairs = _dense(forest, reps, docs, width, share, full_depth, reach)
         else:
             ranged = forest.repartitionByRange("order", "key", "node").sortWithinPartitions("order", "key", "node")
             pairs = neighbours(ranged, distance, depth)
@@ -195,26 +195,40 @@ def near_duplicates(
     )
 
 
-def _dense(forest: DataFrame, full_depth: int, reach: int) -> DataFrame:
-    """All open pairs of regions with more than ``reach`` sets that share ``full_depth`` functions.
+def _dense(forest: DataFrame, reps: DataFrame, docs: DataFrame, width: int, share: tuple[int, int], full_depth: int, reach: int) -> DataFrame:
+    """Open pairs of regions with more than ``reach`` sets that share ``full_depth`` functions.
 
-    In such a region one root holds nearly all sets after the first round; only sets outside
-    the largest root are paired with the others, and those inside it not with each other.
+    The sets of such regions that hold several roots are joined on their rarest shingles: of two sets that
+    are similar enough, each has a common shingle among its n - ceil(s * n) + 1 rarest (any fixed
+    order of all shingles will do; by rarity the lists are shortest). So no link is lost, and the copies of
+    one text, which differ by rare shingles, do not meet all with all.
     """
+    num, den = share
     keyed = forest.selectExpr("order", f"xxhash64(substring(key, 1, {4 * full_depth})) AS lead", "node", "root")
-    sizes = keyed.groupBy("order", "lead").count().where(f"count > {reach + 1}").select("order", "lead")
-    members = materialize(keyed.join(sizes, ["order", "lead"]), "dense")
-    held = members.groupBy("order", "lead", "root").count()
-    main = held.groupBy("order", "lead").agg(F.max_by("root", "count").alias("main"), F.count("*").alias("roots"))
-    members = members.join(main.where("roots > 1"), ["order", "lead"])
-    rest = members.where("root <> main").selectExpr("order", "lead", "node AS x", "root AS rx")
-    return (
-        members.select("order", "lead", "node", "root")
-        .join(rest, ["order", "lead"])
-        .where("root <> rx")
-        .selectExpr("least(node, x) AS a", "greatest(node, x) AS b")
-        .distinct()
+    wide = keyed.groupBy("order", "lead").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    wide = wide.where(f"n > {reach + 1} AND low <> high").select("order", "lead")
+    nodes = materialize(keyed.join(wide, ["order", "lead"]).select("node", "root").distinct(), "dense")
+    found = _texts(nodes.selectExpr("node AS a", "node AS b"), reps, docs, width).join(nodes, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHashes()
+        for own, roots, texts_ in rows_of(batches, "node", "root", "text"):
+            sets = [np.unique(shingles(hashed(words_of(t), cache), width)).view(np.int64) for t in texts_]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.binary()), pa.array(roots, pa.binary()), pa.array(sets, pa.list_(pa.int64()))],
+                ["node", "root", "shingles"],
+            )
+
+    sets = materialize(found.mapInArrow(run, "node binary, root binary, shingles array<long>"), "dense-sets")
+    rows = sets.selectExpr("node", "root", "size(shingles) AS n", "explode(shingles) AS shingle")
+    common = rows.groupBy("shingle").count().where("count > 1")
+    ranked = rows.join(common, "shingle", "left").selectExpr(
+        "*", "row_number() OVER (PARTITION BY node ORDER BY coalesce(count, 1), shingle) AS place"
     )
+    prefix = ranked.where(f"count > 1 AND place <= n - ceil(n * {num} / {den}) + 1").select("node", "root", "n", "shingle")
+    other = prefix.selectExpr("node AS b", "root AS rb", "n AS nb", "shingle")
+    near = prefix.join(other, "shingle").where(f"node < b AND root <> rb AND {den} * least(n, nb) >= {num} * greatest(n, nb)")
+    return near.selectExpr("node AS a", "b").distinct()
 
 
 def _texts(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int) -> DataFrame:
