@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import license_scan, minhash_dedup, quality_rules
+from . import byte_bpe, license_scan, minhash_dedup, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,3 +39,15 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_quality_rules")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
+
+
+@_query("op9_byte_bpe")
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = byte_bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decoded("ids", path), 256).alias("decoded_sha256"),
+    )
