@@ -143,12 +143,8 @@ def pre_tokens(docs: DataFrame, pattern: str) -> DataFrame:
 
 
 def dictionary(words: DataFrame, ranks: dict[bytes, int], native: bool = False) -> list[tuple[int, int, str]]:
-    """Shards (first key, last key, path) of the encoded distinct pre-tokens, sorted by hash.
-
-    Only the shards' names and bounds come back. Each attempt of a task writes a file of its own.
-    """
+    """Shards of the encoded distinct pre-tokens, see :func:`stored`."""
     spark = words.sparkSession
-    folder = new_path(spark, "pre-tokens")
     distinct = words.select(F.explode("words").alias("word")).distinct()
     if native:
         encoded = distinct.select(F.xxhash64("word").alias("key"), "word", merged(F.col("word"), RankMap(ranks)).alias("ids"))
@@ -163,7 +159,15 @@ def dictionary(words: DataFrame, ranks: dict[bytes, int], native: bool = False)
                 )
 
         encoded = distinct.select(F.xxhash64("word").alias("key"), "word").mapInArrow(run, "key long, word string, ids array<int>")
-    encoded = materialize(encoded, "encoded")
+    return stored(materialize(encoded, "encoded"))
+
+
+def stored(encoded: DataFrame) -> list[tuple[int, int, str]]:
+    """Shards (first key, last key, path) of (key, word, ids), key the hash of the word, sorted by it.
+
+    Only the shards' names and bounds come back. Each attempt of a task writes a file of its own.
+    """
+    folder = new_path(encoded.sparkSession, "pre-tokens")
     ranged = encoded.repartitionByRange("key", "word").sortWithinPartitions("key", "word")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, license_scan, minhash_dedup, quality_rules
+from . import byte_bpe, html_extraction, license_scan, minhash_dedup, quality_rules, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules of the url query.
+URL_RULES = (
+    url_filter.Rule("allow", "org"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+)
+
+
 @_query("op1_minhash_dedup")
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=3, share=(85, 100))
@@ -36,6 +46,17 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+@_query("op3_token_counts")
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = token_counts.unigram_scores(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return token_counts.counted(_table(spark, sf_dir, "documents"), scores, public_tokenizers.PATTERN)
+
+
+@_query("op4_url_filter")
+def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @_query("op6_quality_rules")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
@@ -51,3 +72,8 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(byte_bpe.decoded("ids", path), 256).alias("decoded_sha256"),
     )
+
+
+@_query("op10_html_extraction")
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(_table(spark, sf_dir, "pages"))
