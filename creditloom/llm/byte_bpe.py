@@ -204,21 +204,30 @@ class Dictionary:
             self._open[n] = table["key"].to_numpy(), table["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy()
         return self._open[n]
 
-    def __call__(self, words: list[str]) -> list[np.ndarray]:
+    def __call__(self, words: list[str], missing: bool = False) -> list[np.ndarray | None]:
+        """The ids of each word; ``missing`` words get None, else every word must be there."""
+        if not self._paths:
+            return [None] * len(words)
         keys = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
         out: list = [None] * len(words)
         # A key may begin in one shard and go on in the next; try each shard whose range holds it.
         low = np.searchsorted(self._lasts, keys, "left")
         for n in np.unique(low).tolist():
+            if missing and n == len(self._paths):
+                continue
             mine = np.flatnonzero(low == n)
             own, names, offsets, values = self._shard(n)
             for i, at in zip(mine.tolist(), np.searchsorted(own, keys[mine]).tolist()):
                 shard, (own_, names_, offsets_, values_) = n, (own, names, offsets, values)
-                while names_[at].as_py() != words[i]:
+                while own_[at] == keys[i] and names_[at].as_py() != words[i] or not missing and own_[at] != keys[i]:
                     at += 1
                     if at == len(own_):
                         shard, at = shard + 1, 0
+                        if shard == len(self._paths):
+                            break
                         own_, names_, offsets_, values_ = self._shard(shard)
+                if missing and (at >= len(own_) or shard == len(self._paths) or own_[at] != keys[i]):
+                    continue
                 out[i] = values_[offsets_[at] : offsets_[at + 1]]
         return out
 

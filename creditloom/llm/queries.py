@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extraction, license_scan, minhash_dedup, quality_rules, token_counts, url_filter
+from . import byte_bpe, html_extraction, language_model, license_scan, minhash_dedup, quality_rules, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,6 +62,12 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
 
 
+@_query("op8_lm_scoring")
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return language_model.scored(_table(spark, sf_dir, "documents"), held_out)
+
+
 @_query("op9_byte_bpe")
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
