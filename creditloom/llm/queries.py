@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_extraction, language_model, license_scan, minhash_dedup, quality_rules, token_counts, url_filter
+from . import (
+    byte_bpe,
+    decontamination,
+    html_extraction,
+    language_model,
+    license_scan,
+    minhash_dedup,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,11 +68,21 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@_query("op5_decontamination")
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query("op6_quality_rules")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
 
 
+@_query("op7_substring_dedup")
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 @_query("op8_lm_scoring")
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
