@@ -32,7 +32,7 @@ SCHEMA = "doc_id long, text string, n long, word string, `key` string, h array<i
 
 def _prose(seed, n):
     source = random.Random(seed)
-    return [source.choice("the of and river stone cloud winter garden letter market Straße naïve engine window paper 北京 music").lower() + str(source.randrange(40)) for _ in range(n)]
+    return [source.choice("the of and river stone cloud winter garden letter market Straße naïve engine window paper 北京 music".split()).lower() + str(source.randrange(40)) for _ in range(n)]
 
 
 def _texts():
