@@ -15,7 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import number, quoted, with_exprs
+from ..functions import number, quoted, text, with_exprs
 from ..session import ensure_checkpoint_dir, materialize
 from .encoding import PreprocessorModel, build_preprocessor
 from .evaluation import auc
@@ -29,6 +29,8 @@ Learner = Callable[[int], Any]
 def scale_pos_weight(df: DataFrame, label: str) -> int:
     """Negatives per positive, truncated."""
     counts = class_counts(df, label)
+    if not counts.get(1):
+        raise ValueError(f"{label} has no positive rows")
     return counts.get(0, 0) // counts[1]
 
 
@@ -41,7 +43,7 @@ def class_weights(df: DataFrame, label: str) -> dict[object, float]:
 
 def add_class_weight(df: DataFrame, label: str, weights: Mapping[object, float], out: str) -> DataFrame:
     """The weight of each row's class as a column."""
-    branches = " ".join(f"WHEN {quoted(label)} = {g} THEN {number(w)}" for g, w in weights.items())
+    branches = " ".join(f"WHEN {quoted(label)} = {text(g) if isinstance(g, str) else g} THEN {number(w)}" for g, w in weights.items())
     return with_exprs(df, {out: f"CASE {branches} END"})
 
 
@@ -78,6 +80,10 @@ def boosted(
     )
 
 
+#: Published parameter names that :func:`boosted_from` uses.
+USED_PARAMS = ("n_estimators", "learning_rate", "max_depth", "min_child_samples", "subsample", "colsample_bytree")
+
+
 def boosted_from(params: Mapping[str, float], max_rounds: int | None = None, seed: int = 42) -> Learner:
     """A boosted learner from published parameter names; those without a Spark twin are not used."""
     rounds = int(params["n_estimators"])
@@ -287,7 +293,11 @@ def random_search(
     max_rounds: int | None = None,
     parallelism: int = 1,
 ) -> DataFrame:
-    """Cross-validate seeded draws of the boosted model's parameters: (draw, mean_auc, std_auc, params...)."""
+    """Cross-validate seeded draws of the boosted model's parameters: (draw, mean_auc, std_auc, params...).
+
+    Parameters that the learner does not use are neither drawn nor reported.
+    """
+    space = {name: bounds for name, bounds in space.items() if name in USED_PARAMS}
     draws = draw_params(space, n_iter, seed)
     specs = [
         ModelSpec(str(i), boosted_from(p, max_rounds, seed), weight="positive") for i, p in enumerate(draws)

@@ -165,6 +165,9 @@ def _within(h: str, key: str, cut: tuple[int, int] | None) -> str:
 
 
 def _hashed(df: DataFrame, key: str, order: HashOrder, stratum: str) -> DataFrame:
+    """Stratum, key and hash of each row. A null key has no place in the order and is refused."""
+    if df.filter(f"bigint({quoted(key)}) IS NULL").limit(1).count():
+        raise ValueError(f"{key} has null keys")
     k = f"bigint({quoted(key)})"
     return df.selectExpr(f"{stratum} AS _g", f"{k} AS _k", f"{order.of(k)} AS _h")
 

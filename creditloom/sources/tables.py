@@ -6,19 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None, fmt: str = "csv"
 ) -> DataFrame:
-    """Read a table. CSV has a header; without ``schema`` its types are inferred."""
+    """Read a table. CSV has a header; without ``schema`` its types are inferred.
+
+    The columns of ``schema`` are found in a CSV file by name, whatever their order and whatever else
+    the file holds; one that is not there is an error, and so is a part file with another header.
+    """
     reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
-    return reader.format(fmt).load(path)
+    if fmt != "csv":
+        return (reader if schema is None else reader.schema(schema)).format(fmt).load(path)
+    reader = reader.option("header", True)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    names = reader.csv(path).columns
+    if missing := [f.name for f in schema if f.name not in names]:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    known = {f.name: f for f in schema}
+    in_file = StructType([known.get(n, StructField(n, StringType())) for n in names])
+    return reader.schema(in_file).option("enforceSchema", False).csv(path).select(*schema.names)
 
 
 def write_scores(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:

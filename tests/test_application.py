@@ -178,3 +178,21 @@ def test_streaming_applies_the_batch_plan(spark, tmp_path):
     assert {r["BAND"] for r in got.collect()} <= {"approve", "review", "deny"}
     with pytest.raises(ValueError):
         prepare_stream(arriving, params)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    wide = spark.sql("SELECT 9 AS SK_ID_BUREAU, -30 AS DAYS_CREDIT, 'Active' AS CREDIT_ACTIVE, 5 AS SK_ID_CURR, 1.5 AS AMT_CREDIT_SUM, 2.5 AS AMT_CREDIT_SUM_DEBT, 0 AS CREDIT_DAY_OVERDUE, 0.5 AS AMT_CREDIT_SUM_OVERDUE, 0.25 AS AMT_CREDIT_MAX_OVERDUE")
+    wide.write.option("header", True).csv(str(tmp_path / "wide"))
+    row = read_table(spark, str(tmp_path / "wide"), SCHEMAS["bureau"]).first()
+    assert (row.SK_ID_CURR, row.CREDIT_ACTIVE, row.AMT_CREDIT_SUM_DEBT, row.DAYS_CREDIT) == (5, "Active", 2.5, -30)
+    wide.drop("DAYS_CREDIT").write.option("header", True).csv(str(tmp_path / "narrow"))
+    with pytest.raises(ValueError, match="DAYS_CREDIT"):
+        read_table(spark, str(tmp_path / "narrow"), SCHEMAS["bureau"])
+
+
+def test_null_keys_are_refused(spark):
+    from creditloom.operators import sampling
+
+    rows = spark.createDataFrame([(None,), (1,)], "id long")
+    with pytest.raises(ValueError, match="null keys"):
+        sampling.sample_n(rows, 1, "id")
