@@ -68,6 +68,26 @@ def urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+SQL["op4_url_filter"] = """
+WITH rests AS (
+    SELECT row_number() OVER () AS k, page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), hosts AS (
+    SELECT k, page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rests
+), parts AS (
+    SELECT k, page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+    FROM hosts
+), rules (verdict, h, p) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+)
+SELECT any_value(page_id) AS page_id, any_value(host) AS host, any_value(path) AS path,
+    arg_max(h || p, length(h || p)) AS rule, coalesce(arg_max(verdict, length(h || p)), 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY k
+"""
+
+
 @_query("op5_decontamination")
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
