@@ -152,16 +152,15 @@ def language_references(counted: DataFrame) -> dict[str, tuple[list[int], list[i
     }
 
 
-def distance(counts: str, reference: list[int]) -> str:
-    """Jensen-Shannon distance (base 2) of an array of counts from reference counts, as SQL."""
+def distance(counts: str, n: str, reference: list[int]) -> str:
+    """Jensen-Shannon distance (base 2) of an array of counts, their sum ``n``, from reference counts, as SQL."""
     total = float(sum(reference)) or 1.0
     q = "array(" + ", ".join(f"{x / total!r}D" for x in reference) + ")"
     term = (
         "(CASE WHEN x > 0 THEN x * log2(2 * x / (x + y)) ELSE 0D END + "
         "CASE WHEN y > 0 THEN y * log2(2 * y / (x + y)) ELSE 0D END) / 2"
     )
-    total_ = f"aggregate({counts}, 0L, (s, x) -> s + x)"
-    terms = f"zip_with(transform({counts}, c -> CAST(c AS DOUBLE) / {total_}), {q}, (x, y) -> {term})"
+    terms = f"zip_with(transform({counts}, c -> CAST(c AS DOUBLE) / {n}), {q}, (x, y) -> {term})"
     return f"sqrt(greatest(0D, aggregate({terms}, 0D, (s, x) -> s + x)))"
 
 
@@ -179,11 +178,11 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", limits: Lim
         histograms(base_counts(id_and_text(docs, key, text))).drop("text", "words", "dense", "repeats"), "quality"
     )
     references = language_references(counted)
-    chars = [distance("chars", c) for c, _ in references.values()]
-    words = [distance("common", w) for _, w in references.values()]
+    sums = [f"aggregate({c}, 0L, (s, x) -> s + x) AS n_{c}" for c in ("chars", "common")]
+    chars = [distance("chars", "n_chars", c) for c, _ in references.values()]
+    words = [distance("common", "n_common", w) for _, w in references.values()]
     least = lambda found: f"least({', '.join(found)}, 1D)" if found else "CAST(NULL AS DOUBLE)"
-    n_common = "aggregate(common, 0L, (s, x) -> s + x)"
-    found = counted.selectExpr(
+    found = counted.selectExpr("*", *sums).selectExpr(
         "doc_id",
         "CAST(n AS BIGINT) AS n_words",
         "word_chars",
@@ -191,7 +190,7 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", limits: Lim
         "n_dup_lines",
         "n_repeat_words",
         f"CASE WHEN word_chars >= {limits.min_chars} THEN {least(chars)} END AS char_distance",
-        f"CASE WHEN n >= {limits.min_words} AND {n_common} >= {limits.min_common} THEN {least(words)} END AS word_distance",
+        f"CASE WHEN n >= {limits.min_words} AND n_common >= {limits.min_common} THEN {least(words)} END AS word_distance",
         f"n < 10 OR 100 * n_repeat_words > 20 * n AS base_failed",
     )
     return found.selectExpr(
