@@ -14,6 +14,7 @@ from . import (
     html_extraction,
     language_model,
     license_scan,
+    line_dedup,
     minhash_dedup,
     quality_rules,
     substring_dedup,
@@ -124,3 +125,26 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_html_extraction")
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extracted(_table(spark, sf_dir, "pages"))
+
+@_query("op12_line_dedup")
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduped(_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op12_line_dedup"] = """
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), rows AS (
+    SELECT d, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs
+), keyed AS (
+    SELECT *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM rows
+), frequent AS (
+    SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT d) >= 10
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.k) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent f ON keyed.k = f.k
+GROUP BY d
+"""
