@@ -13,6 +13,7 @@ from . import (
     decontamination,
     html_extraction,
     language_model,
+    lexical_search,
     license_scan,
     line_dedup,
     minhash_dedup,
@@ -148,3 +149,41 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.k) AS n_dropped
 FROM keyed LEFT JOIN frequent f ON keyed.k = f.k
 GROUP BY d
 """
+
+
+@_query("op13_lexical_search")
+def ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op13_lexical_search"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), tf AS (
+    SELECT d, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+    FROM (SELECT d, doc_id, len(words) AS n, unnest(words) AS term FROM docs) GROUP BY d, term
+), total AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_words FROM docs WHERE len(words) > 0
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs)::DOUBLE + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term
+), asked AS (
+    SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), wanted AS (
+    SELECT i, any_value(item_id) AS item_id, term, count(*) AS q
+    FROM (SELECT i, item_id, unnest(words) AS term FROM asked) GROUP BY i, term
+), scored AS (
+    SELECT i, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+        CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_words)))) AS BIGINT) AS score
+    FROM wanted JOIN tf USING (term) JOIN weights USING (term), total GROUP BY i, d
+), placed AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
