@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     byte_bpe,
+    collocations,
     decontamination,
     html_extraction,
     language_model,
@@ -187,3 +188,47 @@ WITH docs AS (
 )
 SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
 """
+
+
+@_query("op11_collocations")
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), grams AS (
+    SELECT lang, size, words[i : i + size - 1] AS words
+    FROM (SELECT lang, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i FROM worded, (VALUES (1), (2), (3), (4)) AS s (size))
+), counted AS MATERIALIZED (
+    SELECT lang, words, any_value(size) AS size, count(*) AS f FROM grams GROUP BY lang, words
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+    SELECT lang, words, size, f AS a FROM counted WHERE size > 1 AND f >= 30
+), halves AS MATERIALIZED (
+    SELECT c.*, h.f AS l, c.words[cut + 1 : c.size] AS tail
+    FROM (SELECT *, unnest(generate_series(1, size - 1)) AS cut FROM candidates) c
+    JOIN counted h ON h.lang = c.lang AND h.words = c.words[1 : cut]
+), cuts AS MATERIALIZED (
+    SELECT c.lang, c.words, a, cut, l, t.f AS r, CAST(2000000::HUGEINT * a // (l + t.f) AS BIGINT) AS score
+    FROM halves c JOIN counted t ON t.lang = c.lang AND t.words = c.tail
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+), inside AS (
+    SELECT lang, words[i : i + m - 1] AS words, max(a) AS most
+    FROM (SELECT *, unnest(generate_series(1, size - m + 1)) AS i
+        FROM (SELECT *, unnest(generate_series(2, size - 1)) AS m FROM candidates WHERE size > 2))
+    GROUP BY 1, 2
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank,
+        array_to_string(words, ' ') AS phrase, a, l, r, score
+    FROM lowest LEFT JOIN inside USING (lang, words) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
