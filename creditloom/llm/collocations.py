@@ -7,8 +7,10 @@ parts, so none can hide behind the border; a border phrase that turns out freque
 joins the proposed ones, and a further pass counts what is new at the border, until no failure is left.
 
 The proposed phrases are kept as a sharded perfect hash (:mod:`perfect_hash`) that tasks map, so they may be many.
-A wrong hit there only makes the border wider. Occurrences are counted a few megabytes at a time before they leave
-a task. Phrases travel as 64-bit hashes; two phrases of the corpus with the same hash would be counted as one.
+A wrong hit there only makes the border wider. Occurrences are counted a few megabytes at a time and leave a task as sorted
+64-bit hashes with their counts, packed by range of hashes; a range is added up by one task. Only frequent
+phrases are ever spelled out: from the sample, and the few it lacks from the other documents. Two phrases of the corpus
+with the same hash would be counted as one.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +30,15 @@ from pyspark.sql.window import Window
 
 from ..session import materialize
 from . import perfect_hash
-from .common import hashed, mixed, texts
+from .common import mixed, texts
 
 LONGEST = 4
 NO_LANGUAGE = "und"
 #: One document in so many is in the sample.
 SAMPLE = 8
-_CHUNK_BYTES = 6_000_000
-_REMEMBERED = 200_000
+_CHUNK_BYTES = 8_000_000
+#: Text whose phrases one range of hashes holds; about as many distinct ones as a fifth of it has bytes.
+_RANGE_BYTES = 16_000_000
 
 # Fixed values: `.,;:!?` and \x0A-\x0D end a piece; space and tab part words; A-Z is lower-cased.
 _END = 255  # no byte of UTF-8
@@ -41,18 +46,6 @@ _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else 32 if c == 9 else _END if c in b".,;:!?" or 10 <= c <= 13 else c for c in range(256)
 )
 _MARK = bytes([_END])
-_MARK_HASH = np.uint64(0)
-
-
-class _Words(dict):
-    """Word -> hash, remembering the latest few hundred thousand."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-            self[_MARK] = int(_MARK_HASH)
-        value = self[word] = xxhash.xxh64_intdigest(word) or 1
-        return value
 
 
 def _slices(text: bytes | None) -> Iterator[bytes]:
@@ -70,214 +63,289 @@ def _slices(text: bytes | None) -> Iterator[bytes]:
 
 @dataclass
 class _Chunk:
-    """Words of some documents in a row, with a mark between pieces."""
-
-    words: list[bytes]
-    hashes: np.ndarray  # per word, by language; 0 for a mark
-    langs: list[str]
-    lang: np.ndarray  # per word
+    """Words of some documents of one language in a row, with a mark between pieces."""
+
+    lang: str
+    ids: np.ndarray  # of the words, by place
+    names: list[bytes]  # by id
+    hashes: np.ndarray  # by id, 0 for the mark
+
+    @classmethod
+    def of(cls, lang: str, parts: list[bytes]) -> _Chunk:
+        flat = (_MARK.join(parts) + _MARK).replace(_MARK, b" " + _MARK + b" ")
+        coded = pc.split_pattern(pa.array([flat], pa.large_binary()), pattern=" ").flatten().dictionary_encode()
+        ids, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        if b"" in names:
+            ids = ids[ids != names.index(b"")]
+        salt = np.uint64(xxhash.xxh64_intdigest(lang, 1))  # not the words' own hash: a language may be named like a word
+        own = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+        own = mixed(own ^ salt) | np.uint64(1)
+        if _MARK in names:
+            own[names.index(_MARK)] = 0
+        return cls(lang, ids, names, own)
 
     def grams(self) -> Iterator[tuple[int, np.ndarray]]:
         """(size, hash of the phrase of that size from each place on). Only phrases without a mark count."""
-        h = found = self.hashes
+        h = found = self.hashes[self.ids]
         yield 1, found
         for size in range(2, LONGEST + 1):
             found = mixed(found[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[size - 1 :]) if len(found) else found
             yield size, found
 
+    def phrase(self, place: int, size: int) -> bytes:
+        return b" ".join([self.names[i] for i in self.ids[place : place + size].tolist()])
+
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
-    cache, salts = _Words({_MARK: int(_MARK_HASH)}), {}
-
-    def chunk(parts: list[tuple[bytes, str]]) -> _Chunk:
-        words, sizes = [], []
-        for text, _ in parts:
-            start = len(words)
-            words += text.replace(_MARK, b" " + _MARK + b" ").split()
-            words.append(_MARK)
-            sizes.append(len(words) - start)
-        langs = list(dict.fromkeys(lang for _, lang in parts))
-        for lang in langs:
-            salts.setdefault(lang, xxhash.xxh64_intdigest(lang))
-        at = {lang: i for i, lang in enumerate(langs)}
-        which = np.repeat([at[lang] for _, lang in parts], sizes)
-        own = hashed(words, cache)
-        salt = np.array([salts[lang] for lang in langs], np.uint64)[which]
-        return _Chunk(words, np.where(own == _MARK_HASH, own, mixed(own ^ salt) | np.uint64(1)), langs, which)
-
-    parts, size = [], 0
+    """The documents of a task by language; the largest language goes first when too much is held."""
+    held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     for batch in batches:
         for text, lang in zip(texts(batch.column("text")), batch.column("lang").to_pylist()):
             for part in _slices(text):
-                parts.append((part, lang))
-                size += len(part)
-                if size > _CHUNK_BYTES:
-                    yield chunk(parts)
-                    parts, size = [], 0
-        if parts:
-            yield chunk(parts)
-            parts, size = [], 0
-
-
-_COUNTED = "key long, size int, known boolean, lang string, phrase string, n long"
-
-
-class _Counted:
-    """Counts of the distinct phrases at some places of a chunk."""
-
-    def __init__(self, chunk: _Chunk, size: int, grams: np.ndarray, places: np.ndarray):
-        self.chunk, self.size, self.places = chunk, size, places
-        self.keys, self.first, self.back, self.n = np.unique(
-            grams[places], return_index=True, return_inverse=True, return_counts=True
-        )
-
-    def spread(self, flags: np.ndarray, length: int) -> np.ndarray:
+                held.setdefault(lang, []).append(part)
+                sizes[lang] = sizes.get(lang, 0) + len(part)
+                if sizes[lang] > _CHUNK_BYTES or len(sizes) > 1 and sum(sizes.values()) > 2 * _CHUNK_BYTES:
+                    most = max(sizes, key=sizes.get)
+                    yield _Chunk.of(most, held.pop(most))
+                    del sizes[most]
+    while held:
+        yield _Chunk.of(*held.popitem())
+
+
+class _Distinct:
+    """The distinct phrases of one size at some places of a chunk."""
+
+    def __init__(self, size: int, grams: np.ndarray, places: np.ndarray):
+        coded = pa.array(grams[places]).dictionary_encode()
+        self.size, self.places, self.length = size, places, len(grams)
+        self.keys, self.back = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        self.n = np.bincount(self.back, minlength=len(self.keys))
+
+    def spread(self, flags: np.ndarray) -> np.ndarray:
         """A flag per distinct phrase, as one per place of the chunk."""
-        out = np.zeros(length, bool)
+        out = np.zeros(self.length, bool)
         out[self.places] = flags[self.back]
         return out
 
-    def rows(self, known: np.ndarray, named: np.ndarray, kept: np.ndarray | None = None) -> pa.RecordBatch:
-        """Rows of the distinct phrases (``kept``: of some of them), with language and words where ``named``."""
-        kept = np.arange(len(self.keys)) if kept is None else np.flatnonzero(kept)
-        words, langs, which = self.chunk.words, self.chunk.langs, self.chunk.lang
-        names: list[bytes | None] = [None] * len(kept)
-        owners: list[str | None] = [None] * len(kept)
-        starts = self.places[self.first[kept]]
-        for i in np.flatnonzero(named[kept]).tolist():
-            start = int(starts[i])
-            names[i] = b" ".join(words[start : start + self.size])
-            owners[i] = langs[which[start]]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(self.keys[kept].view(np.int64)),
-                pa.array(np.full(len(kept), self.size, np.int32)),
-                pa.array(known[kept]),
-                pa.array(owners, pa.string()),
-                pa.array(names, pa.binary()).cast(pa.string()),
-                pa.array(self.n[kept].astype(np.int64)),
-            ],
-            ["key", "size", "known", "lang", "phrase", "n"],
-        )
+    def gathered(self, flags: np.ndarray) -> np.ndarray:
+        """A flag per place, as one per distinct phrase. Equal phrases have equal flags."""
+        out = np.zeros(len(self.keys), bool)
+        out[self.back] = flags[self.places]
+        return out
+
+    def first(self) -> np.ndarray:
+        """A place of each distinct phrase."""
+        out = np.zeros(len(self.keys), np.int64)
+        out[self.back] = self.places
+        return out
 
 
-def _totals(chunk: _Chunk) -> pa.RecordBatch:
-    """Size 0: all words per language."""
-    n = np.bincount(chunk.lang[chunk.hashes != _MARK_HASH], minlength=len(chunk.langs))
-    none = [None] * len(n)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(none, pa.int64()), pa.array(np.zeros(len(n), np.int32)), pa.array([True] * len(n)), pa.array(chunk.langs), pa.array(none, pa.string()), pa.array(n.astype(np.int64))],
-        ["key", "size", "known", "lang", "phrase", "n"],
+_PACKED = "range int, size int, known boolean, lang string, keys binary, n binary"
+
+
+def _packed(keys: np.ndarray, n: np.ndarray, size: int, known: bool, ranges: int) -> Iterator[pa.RecordBatch]:
+    """Counts as one row per range of hashes."""
+    if not len(keys):
+        return
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order].astype(np.int64)
+    which = perfect_hash.shard_of(keys, ranges)
+    cuts = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(keys)]
+    rows = len(cuts) - 1
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(which[cuts[:-1]].astype(np.int32)),
+            pa.array(np.full(rows, size, np.int32)),
+            pa.array([known] * rows),
+            pa.nulls(rows, pa.string()),
+            pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+        ],
+        _FIELDS,
     )
 
 
-def _grouped(docs: DataFrame, run) -> DataFrame:
-    rows = docs.select("lang", "text").mapInArrow(run, _COUNTED)
-    # Counted within the tasks already: group once, behind the shuffle.
-    return rows.repartition("key").groupBy("key", "size", "known", "lang", "phrase").agg(F.sum("n").alias("n"))
+_FIELDS = ["range", "size", "known", "lang", "keys", "n"]
 
 
-def _words(docs: DataFrame) -> DataFrame:
+def _totals(chunk: _Chunk) -> pa.RecordBatch:
+    """Size 0: all words of a language."""
+    n = np.array([(chunk.hashes[chunk.ids] != 0).sum()], np.int64).tobytes()
+    row = ([0], pa.int32()), ([0], pa.int32()), ([True], pa.bool_()), ([chunk.lang], pa.string()), ([b""], pa.binary()), ([n], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(*column) for column in row], _FIELDS)
+
+
+def _added(table: pa.Table, least: int) -> pa.Table:
+    """The packed rows of one range added up; phrases below ``least`` go."""
+    table = table.combine_chunks()
+    sizes, known = table["size"].to_numpy(), table["known"].to_numpy(zero_copy_only=False)
+    out = {name: [] for name in ("key", "size", "known", "lang", "n")}
+
+    def add(keys, size, flag, lang, n):
+        for name, value in (("key", keys), ("size", [size] * len(keys)), ("known", [flag] * len(keys)), ("lang", [lang] * len(keys)), ("n", n)):
+            out[name] += value
+
+    totals: dict[str, int] = {}
+    for at in np.flatnonzero(sizes == 0).tolist():
+        lang = table["lang"][at].as_py()
+        totals[lang] = totals.get(lang, 0) + int(np.frombuffer(table["n"][at].as_py(), np.int64)[0])
+    for lang, n in totals.items():
+        add([0], 0, True, lang, [n])
+    for size in range(1, LONGEST + 1):
+        for flag in (False, True):
+            rows = table.take(np.flatnonzero((sizes == size) & (known == flag)))
+            keys = np.frombuffer(b"".join(rows["keys"].to_pylist()), np.uint64)
+            if not len(keys):
+                continue
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], np.frombuffer(b"".join(rows["n"].to_pylist()), np.int64)[order]
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            n = np.add.reduceat(n, starts)
+            kept = n >= least
+            add(keys[starts][kept].view(np.int64).tolist(), size, flag, None, n[kept].tolist())
+    kinds = {"key": pa.int64(), "size": pa.int32(), "known": pa.bool_(), "lang": pa.string(), "n": pa.int64()}
+    return pa.table({name: pa.array(out[name], kind) for name, kind in kinds.items()})
+
+
+def _counted(docs: DataFrame, run, least: int) -> DataFrame:
+    """(key, size, known, lang, n) of the phrases that ``run`` counts, ``least`` and more."""
+    rows = docs.select("lang", "text").mapInArrow(run, _PACKED)
+    counted = rows.groupBy("range").applyInArrow(lambda t: _added(t, least), "key long, size int, known boolean, lang string, n long")
+    return materialize(counted, "counted")
+
+
+def _words(docs: DataFrame, ranges: int, least: int) -> DataFrame:
     """Counts of all words."""
 
     def run(batches):
         for chunk in _chunks(batches):
-            counted = _Counted(chunk, 1, chunk.hashes, np.flatnonzero(chunk.hashes))
-            no = np.zeros(len(counted.keys), bool)
-            yield counted.rows(no, no)
+            words = np.flatnonzero(chunk.hashes)
+            n = np.bincount(chunk.ids, minlength=len(chunk.hashes))[words]
+            yield from _packed(chunk.hashes[words][n > 0], n[n > 0], 1, True, ranges)
 
-    return _grouped(docs, run)
+    return _counted(docs, run, least)
 
 
-def _made_of(docs: DataFrame, words: perfect_hash.Index) -> DataFrame:
+def _made_of(docs: DataFrame, words: perfect_hash.Index, ranges: int, least: int) -> DataFrame:
     """Counts of all longer phrases made of the given words."""
 
     def run(batches):
         probe = words.reader()
         for chunk in _chunks(batches):
-            flags = np.zeros(0, bool)
+            one = probe.has(chunk.hashes)[chunk.ids] & (chunk.hashes[chunk.ids] != 0)
+            flags = one
             for size, grams in chunk.grams():
-                if size == 1:
-                    counted = _Counted(chunk, 1, grams, np.flatnonzero(grams))
-                    flags = one = counted.spread(probe.has(counted.keys), len(grams))
-                    continue
-                flags = flags[:-1] & one[size - 1 :]
-                counted = _Counted(chunk, size, grams, np.flatnonzero(flags))
-                no = np.zeros(len(counted.keys), bool)
-                yield counted.rows(no, no)
+                if size > 1:
+                    flags = flags[:-1] & one[size - 1 :]
+                    found = _Distinct(size, grams, np.flatnonzero(flags))
+                    yield from _packed(found.keys, found.n, size, True, ranges)
 
-    return _grouped(docs, run)
+    return _counted(docs, run, least)
 
 
-def _border(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: perfect_hash.Index | None) -> DataFrame:
-    """Counts of the proposed phrases and of their border; with ``fresh`` only what those among them bring in.
+class _Any:
+    """Membership in any of some indexes."""
 
-    Phrases of three words and more, and proposed ones, carry their words; the other border phrases, which
-    are by far the most and hardly ever frequent, only their hash.
-    """
+    def __init__(self, indexes: Sequence[perfect_hash.Index]):
+        self._readers = [index.reader() for index in indexes]
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), bool)
+        for reader in self._readers:
+            left = np.flatnonzero(~out)
+            out[left] = reader.has(keys[left])
+        return out
 
-    def run(batches):
-        probes, newer = [index.reader() for index in proposed], fresh and fresh.reader()
 
-        def member(keys: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(keys), bool)
-            for probe in probes:
-                left = np.flatnonzero(~out)
-                out[left] = probe.has(keys[left])
-            return out
+def _walk(chunk: _Chunk, probe: _Any) -> Iterator[tuple[_Distinct, np.ndarray, np.ndarray]]:
+    """Size by size: the distinct phrases whose two parts are members, their places' hashes, and who is a member."""
+    inside = np.zeros(0, bool)
+    for size, grams in chunk.grams():
+        found = _Distinct(size, grams, np.flatnonzero(grams) if size == 1 else np.flatnonzero(inside[:-1] & inside[1:]))
+        known = probe.has(found.keys)
+        inside = found.spread(known)
+        yield found, grams, known
 
+
+def _border(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: perfect_hash.Index | None, ranges: int, least: int) -> DataFrame:
+    """Counts of the proposed phrases and of their border; with ``fresh`` only what those among them bring in."""
+
+    def run(batches):
+        probe, newer = _Any(proposed), fresh and fresh.reader()
         for chunk in _chunks(batches):
             if fresh is None:
                 yield _totals(chunk)
-            inside = new = np.zeros(0, bool)
-            for size, grams in chunk.grams():
-                places = np.flatnonzero(grams) if size == 1 else np.flatnonzero(inside[:-1] & inside[1:])
-                counted = _Counted(chunk, size, grams, places)
-                # A word's own parts are empty and always proposed: all words are at the border of the first pass.
-                brings = np.zeros(len(grams), bool) if size == 1 else new[:-1] | new[1:]
-                known = member(counted.keys)
-                inside = counted.spread(known, len(grams))
-                named = known if size < 3 else np.ones(len(known), bool)
-                if fresh is None:
-                    yield counted.rows(known, named)
-                    new = inside
-                else:
-                    own = newer.has(counted.keys)
-                    new = counted.spread(own, len(grams))
-                    yield counted.rows(known, named, own | brings[places[counted.first]])
-
-    return _grouped(docs, run)
+            new = np.zeros(0, bool)
+            for found, _, known in _walk(chunk, probe):
+                # All words are at the border of the first pass: their own parts are empty.
+                kept = np.ones(len(known), bool)
+                if fresh is not None:
+                    kept = found.gathered(new[:-1] | new[1:]) if found.size > 1 else ~kept
+                    new = found.spread(newer.has(found.keys))
+                for flag in (False, True):
+                    some = kept & (known == flag)
+                    yield from _packed(found.keys[some], found.n[some], found.size, flag, ranges)
+
+    return _counted(docs, run, least)
 
 
 def _index(keys: DataFrame) -> perfect_hash.Index:
-    keys = materialize(keys.select("key").distinct(), "proposed")
-    return perfect_hash.build(keys, keys.count(), label="proposed-index")
+    keys = materialize(keys.select("key").distinct(), "phrase-keys")
+    return perfect_hash.build(keys, keys.count(), label="phrase-index")
+
+
+def _spelled(docs: DataFrame, all_keys: perfect_hash.Index, wanted: perfect_hash.Index) -> DataFrame:
+    """(key, lang, phrase) of the wanted phrases, those that occur. The parts of each must be among all keys."""
+
+    def run(batches):
+        probe, reader = _Any([all_keys]), wanted.reader()
+        for chunk in _chunks(batches):
+            for found, _, known in _walk(chunk, probe):
+                some = np.flatnonzero(known)
+                some = some[reader.has(found.keys[some])]
+                names = [chunk.phrase(place, found.size) for place in found.first()[some].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.keys[some].view(np.int64)), pa.array([chunk.lang] * len(some), pa.string()), pa.array(names, pa.binary()).cast(pa.string())],
+                    ["key", "lang", "phrase"],
+                )
+
+    return docs.select("lang", "text").mapInArrow(run, "key long, lang string, phrase string").distinct()
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, n) of all phrases of 1 to 4 words found ``least`` times or more, and (lang, n) of all words.
 
-    ``docs`` has doc_id, lang and text, neither lang null. One document in ``sample`` proposes; its threshold is what a phrase
-    just frequent falls below in about one sample of nine. The result does not depend on it.
+    ``docs`` has doc_id, lang and text, no lang null. One document in ``sample`` proposes; its threshold is what a phrase
+    that is just frequent stays below in about one sample of nine. The result does not depend on either.
     """
     expected = least / sample
     lowered = max(2, int(expected - 1.5 * math.sqrt(expected)))
-    part = materialize(docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0).select("lang", "text"), "sample")
-    words = materialize(_words(part).where(F.col("n") >= lowered).select("key"), "sample-words")
-    longer = _made_of(part, _index(words)).where(F.col("n") >= lowered).select("key")
-    proposed, fresh, found, totals = [_index(words.unionByName(longer))], None, None, None
+    sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(sample)) == 0
+    part = materialize(docs.where(sampled).select("lang", "text"), "sample")
+    bytes_ = part.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    few, many = (max(1, -(-bytes_ * times // _RANGE_BYTES)) for times in (1, sample))
+    words = _words(part, few, lowered)
+    longer = _made_of(part, _index(words), few, lowered)
+    proposed, fresh, passes = [_index(words.select("key").unionByName(longer.select("key")))], None, []
     while True:
-        counted = materialize(_border(docs, proposed, fresh).where((F.col("n") >= least) | (F.col("size") == 0)), "counted")
-        if totals is None:
-            totals = counted.where("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
-        named = counted.where("phrase IS NOT NULL").select("lang", "phrase", "size", "n")
-        found = named if found is None else found.unionByName(named)
-        failures = counted.where(f"NOT known AND size < {LONGEST}")
+        passes.append(_border(docs, proposed, fresh, many, least))
+        failures = passes[-1].where(f"NOT known AND size < {LONGEST}")
         if failures.isEmpty():
-            # A phrase that failed late is counted, to the same number, in two passes.
-            return materialize(found.dropDuplicates(["lang", "phrase"]), "phrases"), totals
+            break
         fresh = _index(failures)
         proposed.append(fresh)
+    totals = passes[0].where("size = 0").select("lang", "n")
+    # A wrong hit in the index of failures may have a phrase counted, to the same number, in two passes.
+    found = reduce(DataFrame.unionByName, passes).where("size > 0").groupBy("key", "size").agg(F.max("n").alias("n"))
+    found = materialize(found, "frequent")
+    keys = _index(found)
+    names = materialize(_spelled(part, keys, keys), "spelled")
+    lacking = found.join(names, "key", "left_anti")
+    rest = _spelled(docs.where(~F.coalesce(sampled, F.lit(False))), keys, _index(lacking))
+    names = names.unionByName(rest)
+    # A wrong hit in the index of keys may spell a phrase that is not frequent; it has no count.
+    return materialize(found.join(names, "key").drop("key"), "phrases"), totals
 
 
 def scored(phrases: DataFrame) -> DataFrame:
