@@ -4,7 +4,7 @@ One pass counts in how many documents each line's key stands, by a 128-bit hash,
 anything is shuffled. The keys found in at least ``min_docs`` documents are put into a minimal perfect hash
 (:mod:`perfect_hash`): one half of the hash finds the slot, the other half is the slot's fingerprint, next to it
 the count. A second pass probes these arrays for every line, so no line is joined and no text is shuffled.
-A key of fewer documents has no slot; to take it for another, two lines must agree in 128 bits.
+A key of fewer documents has no slot of its own; it is taken for another only if it hits a slot with its own 64 bits.
 """
 
 from __future__ import annotations
