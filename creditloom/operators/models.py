@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import number, quoted, text, with_exprs
-from ..session import ensure_checkpoint_dir, materialize
-from .encoding import PreprocessorModel, build_preprocessor
+from ..session import ensure_checkpoint_dir, materialize, new_path
+from .encoding import PreprocessorModel, build_preprocessor, fit_folds
 from .evaluation import auc
 from .ranking import argmax, summarise_folds, top_k
 from .sampling import class_counts
@@ -205,6 +205,34 @@ def _run(spark: SparkSession, tasks: Iterable[Callable[[], Any]], parallelism: i
         return pool.map(lambda t: inheritable_thread_target(spark)(t)(), tasks)
 
 
+def _encoded_folds(
+    df: DataFrame, lists: Sequence[tuple[str, ...] | None], label: str, key: str, k: int, fold: str, kept: Sequence[str]
+) -> dict[tuple, tuple[PreprocessorModel, DataFrame, DataFrame]]:
+    """(feature list, fold) -> the encoder fitted outside the fold, and the rows outside and inside it, encoded.
+
+    Columns are fitted once for all folds and lists; one job per list writes the encoded rows of all folds.
+    """
+    rest = [c for c in df.columns if c not in {label, key, fold}]
+    wanted = rest if None in lists else [c for c in rest if any(c in features for features in lists)]
+    whole = build_preprocessor(df.select(*wanted), [])
+    fitted = fit_folds(df, whole.numeric, whole.categorical, fold, range(k))
+    out = {}
+    for features in lists:
+        encoders = [fitted[i] if features is None else fitted[i].only(features) for i in range(k)]
+        parts = [
+            e.encode(df, kept).select("*", F.lit(i).alias("_left_out"), (F.col(fold) == i).alias("_held"))
+            for i, e in enumerate(encoders)
+        ]
+        path = new_path(df.sparkSession, "encoded-folds")
+        every = reduce(DataFrame.unionByName, parts).where("_held IS NOT NULL")
+        every.write.partitionBy("_left_out", "_held").parquet(path)
+        table = df.sparkSession.read.schema(every.schema).parquet(path)
+        for i, e in enumerate(encoders):
+            own = table.where(F.col("_left_out") == i)
+            out[features, i] = e, own.where("NOT _held").select(key, label, "x"), own.where("_held").select(*kept, "x")
+    return out
+
+
 def out_of_fold(
     df: DataFrame,
     specs: Sequence[ModelSpec],
@@ -218,29 +246,20 @@ def out_of_fold(
     """Each row scored, per model, by the fit that did not see it: (model, fold, key, label, ..., SCORE).
 
     ``df`` carries the fold column and should be a table or otherwise cheap to read again.
-    Preprocessing is fitted on the training part of each fold, once for all models that share a
-    feature list. Fits run side by side up to ``parallelism``.
+    Preprocessing is fitted on the training part of each fold, in passes that all folds and models
+    share. Fits run side by side up to ``parallelism``.
     """
     spark, kept = df.sparkSession, list(dict.fromkeys([fold, key, label, *keep]))
     learned = [s for s in specs if s.learner is not None]
     lists = list(dict.fromkeys(None if s.features is None else tuple(s.features) for s in learned))
-
-    def encode(features: tuple[str, ...] | None, i: int) -> tuple[PreprocessorModel, DataFrame, DataFrame]:
-        encoder, rows = fit_encoder(df.filter(F.col(fold) != i).drop(fold), features, label, key)
-        held = encoder.encode(df.filter(F.col(fold) == i), kept)
-        sharing = sum((None if s.features is None else tuple(s.features)) == features for s in learned)
-        return encoder, rows, materialize(held, "held") if sharing > 1 else held
-
-    parts = [(f, i) for f in lists for i in range(k)]
-    encoded = dict(zip(parts, _run(spark, [lambda f=f, i=i: encode(f, i) for f, i in parts], parallelism)))
+    encoded = _encoded_folds(df, lists, label, key, k, fold, kept) if lists else {}
 
     def held_out(spec: ModelSpec, i: int) -> DataFrame:
         if spec.learner is None:
             model = fit_majority(spec, df.filter(F.col(fold) != i), label)
             scored = model.score(df.filter(F.col(fold) == i), kept)
         else:
-            features = None if spec.features is None else tuple(spec.features)
-            encoder, rows, held = encoded[features, i]
+            encoder, rows, held = encoded[None if spec.features is None else tuple(spec.features), i]
             model = fit_encoded(spec, encoder, rows, label, key)
             scored = model.score_encoded(held.withColumn("features", array_to_vector("x"))).select(*kept, "SCORE")
         return scored.withColumn("model", F.lit(spec.name))

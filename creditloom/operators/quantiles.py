@@ -22,10 +22,12 @@ class _Search:
 
     column: str
     rank: int
+    left_out: int | None = None  # the fold whose rows do not count
     lo: float | None = None
     hi: float | None = None
     below: int = 0  # values <= lo
     inside: int = 0  # values in (lo, hi)
+    held: int = 0  # the same, with the fold that is left out
     value: float | None = None
 
     def bracket(self) -> str:
@@ -43,15 +45,24 @@ def _number(column: str) -> str:
     return f"(CASE WHEN NOT isnan({x}) THEN {x} END)"
 
 
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
-    # One row per (bracket, value), so each bracket has a reducer of its own and the generated code
-    # stays small however many columns there are.
+def _shared(searches: list[_Search]) -> list[list[_Search]]:
+    """Searches with the same bracket, whatever fold they leave out."""
     brackets: dict[tuple, list[_Search]] = {}
     for s in searches:
         brackets.setdefault((s.column, s.lo, s.hi), []).append(s)
-    members = list(brackets.values())
+    return list(brackets.values())
+
+
+def _values(df: DataFrame, members: list[list[_Search]], fold: str) -> DataFrame:
+    # One row per (bracket, value), so each bracket has a reducer of its own and the generated code
+    # stays small however many columns there are.
     pairs = ", ".join(f"struct({i} AS i, {m[0].bracket()} AS x)" for i, m in enumerate(members))
-    values = df.selectExpr(f"inline(array({pairs}))").filter("x IS NOT NULL")
+    return df.selectExpr(f"{fold} AS f", f"inline(array({pairs}))").filter("x IS NOT NULL")
+
+
+def _narrow(df: DataFrame, searches: list[_Search], fold: str) -> None:
+    members = _shared(searches)
+    values = _values(df, members, fold)
     shares = ", ".join(number(j / SKETCH_STEPS) for j in range(SKETCH_STEPS + 1))
     sketch = F.expr(f"percentile_approx(x, array({shares}), {SKETCH_ACCURACY}) AS steps")
     steps = {r["i"]: r["steps"] for r in values.groupBy("i").agg(sketch).collect()}
@@ -61,30 +72,37 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
         low, high = steps[i][max(int(min(at)) - 1, 0)], steps[i][min(int(max(at)) + 2, SKETCH_STEPS)]
         bounds.append((low, high))
     low, high = (f"get(array({', '.join(number(b[side]) for b in bounds)}), i)" for side in (0, 1))
-    counted = values.groupBy("i").agg(
+    # Counted per fold: what a fold leaves out is taken from the sum over all of them.
+    counted = values.groupBy("i", "f").agg(
         F.expr(f"count_if(x < {low}) AS under"),
         F.expr(f"count_if(x = {low}) AS at_low"),
         F.expr(f"count_if(x > {low} AND x < {high}) AS between"),
         F.expr(f"count_if(x = {high} AND x > {low}) AS at_high"),
     )
+    parts: dict[int, dict[int, list[int]]] = {}
     for r in counted.collect():
-        for s in members[r["i"]]:
-            _settle(s, *bounds[r["i"]], r["under"], r["at_low"], r["between"], r["at_high"])
+        parts.setdefault(r["i"], {})[r["f"]] = [r["under"], r["at_low"], r["between"], r["at_high"]]
+    for i, m in enumerate(members):
+        for s in m:
+            every = [sum(c) for c in zip(*parts[i].values())]
+            _settle(s, *bounds[i], *[n - own for n, own in zip(every, parts[i].get(s.left_out, [0] * 4))], every)
 
 
-def _settle(s: _Search, low: float, high: float, under: int, at_low: int, between: int, at_high: int) -> None:
+def _settle(
+    s: _Search, low: float, high: float, under: int, at_low: int, between: int, at_high: int, every: list[int]
+) -> None:
     want = s.rank - s.below
     if want < under:
-        s.hi, s.inside = low, under
+        s.hi, s.inside, s.held = low, under, every[0]
     elif want < under + at_low:
         s.value = low
     elif want < under + at_low + between:
-        s.lo, s.hi, s.below, s.inside = low, high, s.below + under + at_low, between
+        s.lo, s.hi, s.below, s.inside, s.held = low, high, s.below + under + at_low, between, every[2]
     elif want < under + at_low + between + at_high:
         s.value = high
     else:
         passed = under + at_low + between + at_high
-        s.lo, s.below, s.inside = high, s.below + passed, s.inside - passed
+        s.lo, s.below, s.inside, s.held = high, s.below + passed, s.inside - passed, s.held - sum(every)
 
 
 def exact_medians(
@@ -94,37 +112,59 @@ def exact_medians(
 
     Spark's exact percentile gathers every distinct value in one task. Here sketches of bounded
     size bracket the middle ranks, counting passes prove the bracket (a hot value is settled by its
-    count alone), and only a bracket of at most ``settle_values`` values is ever collected. All
+    count alone), and only a bracket of at most ``settle_values`` values is ever gathered. All
     columns share each pass; it reads only ``cols``.
     """
+    return _medians(df, cols, None, [None], settle_values)[None]
+
+
+def leave_one_out_medians(
+    df: DataFrame, cols: Sequence[str], fold: str, folds: Sequence[int], settle_values: int = SETTLE_VALUES
+) -> dict[int, dict[str, float | None]]:
+    """Fold -> exact medians of the rows outside that fold, as :func:`exact_medians` gives them for these rows.
+
+    All folds share the passes: the medians of the training parts of a table lie close together, so
+    they have one bracket, and what lies below it is counted per fold and summed without the one left out.
+    """
+    return _medians(df, cols, fold, list(folds), settle_values)
+
+
+def _medians(
+    df: DataFrame, cols: Sequence[str], fold: str | None, left_out: list[int | None], settle_values: int
+) -> dict[int | None, dict[str, float | None]]:
     cols = list(dict.fromkeys(cols))
+    out: dict[int | None, dict[str, float | None]] = {g: dict.fromkeys(cols) for g in left_out}
     if not cols:
-        return {}
-    df = df.select(*map(quoted, cols))
-    counts = df.selectExpr(*[f"count({_number(c)}) AS n{i}" for i, c in enumerate(cols)]).first()
-    searches = [
-        _Search(c, rank, inside=counts[f"n{i}"])
-        for i, c in enumerate(cols)
-        if counts[f"n{i}"]
-        for rank in sorted({(counts[f"n{i}"] - 1) // 2, counts[f"n{i}"] // 2})
-    ]
-    while wide := [s for s in searches if s.value is None and s.inside > settle_values]:
-        for start in range(0, len(wide), BRACKETS_PER_PASS):
-            _narrow(df, wide[start : start + BRACKETS_PER_PASS])
-    near = [s for s in searches if s.value is None]
+        return out
+    own = "0" if fold is None else quoted(fold)
+    df = df.select(*[quoted(c) for c in cols if c != fold], *([] if fold is None else [own]))
+    counted = df.groupBy(F.expr(own).alias("f")).agg(*[F.expr(f"count({_number(c)}) AS n{i}") for i, c in enumerate(cols)])
+    counts = counted.collect()  # a row per fold
+    searches = []
+    for i, c in enumerate(cols):
+        for g in left_out:
+            n, every = (sum(r[f"n{i}"] for r in counts if f is None or r["f"] != f) for f in (g, None))
+            searches += [_Search(c, rank, g, inside=n, held=every) for rank in sorted({(n - 1) // 2, n // 2}) if n]
+    while wide := [s for s in searches if s.value is None and s.held > settle_values]:
+        shared = _shared(wide)
+        for start in range(0, len(shared), BRACKETS_PER_PASS):
+            _narrow(df, [s for m in shared[start : start + BRACKETS_PER_PASS] for s in m], own)
+    near = _shared([s for s in searches if s.value is None])
     if near:
-        # Spark computes a bracket that two ranks share once; only the wanted values come back.
-        row = df.selectExpr(
-            *[
-                f"get(sort_array(collect_list({s.bracket()})), {s.rank - s.below}) AS v{i}"
-                for i, s in enumerate(near)
-            ]
-        ).first()
-        for i, s in enumerate(near):
-            s.value = row[f"v{i}"]
-    medians: dict[str, float | None] = dict.fromkeys(cols)
-    for c in cols:
-        middle = [s.value for s in searches if s.column == c]
-        if middle:
-            medians[c] = (middle[0] + middle[-1]) / 2
-    return medians
+        # Only the wanted values come back.
+        held = _values(df, near, own).groupBy("i").agg(F.expr("sort_array(collect_list(struct(x, f))) AS v"))
+        wanted = {i: sorted({(s.left_out, s.rank - s.below) for s in m}, key=str) for i, m in enumerate(near)}
+        asks = [(i, g, at) for i, asked in wanted.items() for g, at in asked]
+        asked = df.sparkSession.createDataFrame(asks, "i int, g int, at int")
+        others = "filter(v, e -> g IS NULL OR NOT e.f <=> g)"
+        found = held.join(F.broadcast(asked), "i").selectExpr("i", "g", "at", f"get({others}, at).x AS x").collect()
+        value = {(r["i"], r["g"], r["at"]): r["x"] for r in found}
+        for i, m in enumerate(near):
+            for s in m:
+                s.value = value[i, s.left_out, s.rank - s.below]
+    for g in left_out:
+        for c in cols:
+            middle = [s.value for s in searches if s.column == c and s.left_out == g]
+            if middle:
+                out[g][c] = (middle[0] + middle[-1]) / 2
+    return out
