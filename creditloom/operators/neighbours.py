@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -206,12 +206,15 @@ def smote(
     seed: int = 42,
     standardise: bool = True,
     order: HashOrder | None = None,
+    search: Callable[[DataFrame, str, str, int], DataFrame] = neighbour_lists,
 ) -> DataFrame:
     """Add minority rows until minority / majority = ``ratio``: (key, label, x, synthetic).
 
     A new row lies at a random place between a minority row and one of its ``k`` nearest minority
     neighbours. Every minority row starts the same number of new rows, and the first remainder
-    rows in hash order one more. New rows have no key. Apply to the training rows of a fold only.
+    rows in hash order one more. New rows have no key. ``search`` finds the neighbours:
+    :func:`neighbour_lists` exactly, :func:`neighbour_index.indexed_neighbour_lists` with a bound on the work per row,
+    for many dimensions. Apply to the training rows of a fold only.
     """
     minor, n_minor, _, n_major = _two_classes(df, label)
     need = int(n_major * ratio - n_minor)
@@ -222,7 +225,7 @@ def smote(
         raise ValueError("one minority row has no minority neighbour")
     minority = df.filter(F.col(label) == F.lit(minor)).select(key, label, x)
     space = _standardised(minority, x) if standardise else minority
-    near = neighbour_lists(space, key, x, k).selectExpr(quoted(key), "near.neighbour AS _near")
+    near = search(space, key, x, k).selectExpr(quoted(key), "near.neighbour AS _near")
     copies, rest = divmod(need, n_minor)
     extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed))
     starts = (

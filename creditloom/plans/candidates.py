@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import HashOrder
 from ..operators import models, sampling
 from ..operators.models import ModelSpec
+from ..operators.neighbour_index import indexed_neighbour_lists
 from ..operators.neighbours import smote
 from . import loan_columns as names
 
@@ -59,7 +60,7 @@ def imbalance_strategies(
 
     def synthesised(df, label, key):
         # New rows have no key; the learner needs none.
-        made = smote(df, label, key, "x", 0.3, 5, seed, order=order)
+        made = smote(df, label, key, "x", 0.3, 5, seed, order=order, search=indexed_neighbour_lists)
         return made.select(key, label, F.col("x"))
 
     return [
