@@ -86,6 +86,20 @@ def ordinal(spark, sf):
     return encoding.apply_ordinal(_all(spark, sf).select(KEY, *_CODES), fitted, modes)
 
 
+@check(
+    "m4_many_levels",
+    check_sql(
+        "SELECT SK_ID_CURR, CAST(coalesce(i, -1) AS DOUBLE) AS at FROM application LEFT JOIN ranks ON v = CAST(SK_ID_CURR AS VARCHAR)",
+        ranks="SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT CAST(SK_ID_CURR AS VARCHAR) AS v FROM train) AS d",
+    ),
+)
+def many_levels(spark, sf):
+    """A category column with a level per row: numbered as a table, joined to the rows."""
+    text = f"string({KEY}) AS at"
+    fitted = encoding.fit_ordinal(fixture(spark, sf, "train").selectExpr(text), ["at"], driver_levels=0)
+    return encoding.apply_ordinal(fixture(spark, sf, "application").selectExpr(KEY, text), fitted)
+
+
 @check(
     "m5_preprocess",
     check_sql(

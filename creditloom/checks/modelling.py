@@ -66,6 +66,54 @@ def _one(name: str):
 
 
 check("l2_lr_small")(_one("lr_external"))
+def _newton_sql(steps: int = 12) -> str:
+    """Out-of-fold scores of the regression on the external scores: imputed, scaled and fitted step by step, per fold."""
+    ext = names.EXTERNAL_SCORES
+    xs = ["1.0", "x1", "x2", "x3"]
+    more = {
+        "loo": f"SELECT g, fold, SK_ID_CURR, TARGET, {', '.join(ext)} FROM folds, (VALUES (0), (1), (2)) AS v (g)",
+        "med": "SELECT g, " + ", ".join(f"median({c}) AS {c}" for c in ext) + " FROM loo WHERE fold <> g GROUP BY g",
+        "filled": "SELECT loo.g, fold, SK_ID_CURR, TARGET, "
+        + ", ".join(f"coalesce(loo.{c}, med.{c}) AS {c}" for c in ext)
+        + " FROM loo JOIN med ON loo.g = med.g",
+        "mom": "SELECT g, count(*) AS n, "
+        + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(ext, 1))
+        + " FROM filled WHERE fold <> g GROUP BY g",
+        "z": "SELECT filled.g, fold, SK_ID_CURR, TARGET, n, "
+        + ", ".join(f"({c} - m{i}) / s{i} AS x{i}" for i, c in enumerate(ext, 1))
+        + " FROM filled JOIN mom ON filled.g = mom.g",
+        "step0": "SELECT g, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3 FROM mom",
+    }
+    margin = "(b0 + b1 * x1 + b2 * x2 + b3 * x3)"
+    for s in range(steps):
+        # Augmented rows of Hessian and negative gradient, with the penalty 1/n on the weights.
+        cells = [f"sum(w * {xs[i]} * {xs[j]}) / any_value(n) + {int(i == j > 0)} / any_value(n) AS a{i}{j}" for i in range(4) for j in range(4)]
+        cells += [f"sum((TARGET - p) * {xs[i]}) / any_value(n) - {int(i > 0)} * any_value(b{i}) / any_value(n) AS a{i}4" for i in range(4)]
+        kept = ", ".join(f"any_value(b{i}) AS b{i}" for i in range(4))
+        rows = f"SELECT z.*, b0, b1, b2, b3, 1 / (1 + exp(-{margin})) AS p FROM z JOIN step{s} AS b ON z.g = b.g WHERE fold <> z.g"
+        more[f"sums{s}"] = f"SELECT g, {kept}, {', '.join(cells)} FROM (SELECT *, p * (1 - p) AS w FROM ({rows})) GROUP BY g"
+        source = f"sums{s}"
+        for k in range(3):
+            changed = [f"a{i}{j} - a{i}{k} / a{k}{k} * a{k}{j} AS a{i}{j}" for i in range(k + 1, 4) for j in range(k, 5)]
+            same = [f"a{i}{j}" for i in range(k + 1) for j in range(i, 5)]
+            more[f"cut{s}_{k}"] = f"SELECT g, b0, b1, b2, b3, {', '.join([*same, *changed])} FROM {source}"
+            source = f"cut{s}_{k}"
+        d3 = "a34 / a33"
+        more[f"d{s}_2"] = f"SELECT *, {d3} AS d3, (a24 - a23 * ({d3})) / a22 AS d2 FROM {source}"
+        more[f"d{s}_1"] = f"SELECT *, (a14 - a12 * d2 - a13 * d3) / a11 AS d1 FROM d{s}_2"
+        more[f"step{s + 1}"] = f"SELECT g, b0 + (a04 - a01 * d1 - a02 * d2 - a03 * d3) / a00 AS b0, b1 + d1 AS b1, b2 + d2 AS b2, b3 + d3 AS b3 FROM d{s}_1"
+    more["oof_newton"] = f"SELECT SK_ID_CURR, fold, 1 / (1 + exp(-{margin})) AS SCORE FROM z JOIN step{steps} AS b ON z.g = b.g WHERE fold = z.g"
+    return check_sql(settled_select("oof_newton", ["SCORE"], [KEY, "fold"]), **more)
+
+
+@check("l2_newton", _newton_sql())
+def newton_out_of_fold(spark, sf):
+    table = fixture(spark, sf, "application").select(KEY, Y, *names.EXTERNAL_SCORES)
+    folded = materialize(sampling.stratified_folds(table, Y, _FOLDS, KEY, SEED, ORDER), "folded")
+    spec = models.ModelSpec("lr_external", models.logistic_newton(1.0), names.EXTERNAL_SCORES)
+    return settle(models.out_of_fold(folded, [spec], Y, KEY, _FOLDS).select(KEY, "fold", "SCORE"))
+
+
 check("l3_lr_full")(_one("lr_full"))
 check("l4_lr_engineered")(_one("lr_engineered"))
 check("l5_rf")(_one("random_forest"))

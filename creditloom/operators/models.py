@@ -19,6 +19,7 @@ from ..functions import number, quoted, text, with_exprs
 from ..session import ensure_checkpoint_dir, materialize, new_path
 from .encoding import PreprocessorModel, build_preprocessor, fit_folds
 from .evaluation import auc
+from .newton import NewtonLogistic
 from .ranking import argmax, summarise_folds, top_k
 from .sampling import class_counts
 
@@ -54,6 +55,11 @@ def logistic(c: float = 1.0, max_iter: int = 1000) -> Learner:
     )
 
 
+def logistic_newton(c: float = 1.0, max_steps: int = 50) -> Learner:
+    """The same regression, taken to its optimum by Newton steps."""
+    return lambda n: NewtonLogistic(1.0 / (c * n), max_steps)
+
+
 def random_forest(trees: int = 100, depth: int = 10, seed: int = 42) -> Learner:
     """Random forest. Spark grows trees level by level, so a depth is needed (at most 30)."""
     return lambda n: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)

@@ -28,7 +28,7 @@ def test_recall_in_many_dimensions(spark, width, factors):
     """20 dimensions without any structure, 110 with the structure of derived features."""
     x, k = _points(6000, width, factors), 5
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, x array<double>").repartition(8)
-    got = {r.id: r.near for r in indexed_neighbour_lists(df, "id", "x", k).collect()}
+    got = {r.id: r.near for r in indexed_neighbour_lists(df, "id", "x", k, block_rows=48).collect()}
     assert len(got) == len(x) and all(len(v) == k for v in got.values())
     hits = sum(len({e.neighbour for e in got[i]} & want) for i, want in enumerate(_brute(x, k)))
     print("recall", width, hits / (k * len(x)))
