@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from ..functions import HashOrder, number, quoted, xxhash_order
 from ..session import materialize
 from .running import slice_edges, with_slice
-from .sampling import _two_classes, take
+from .sampling import NTH, _two_classes, take
 
 # Send the search functions themselves to the executors, so that this package need not be
 # installed there.
@@ -227,9 +227,10 @@ def smote(
     space = _standardised(minority, x) if standardise else minority
     near = search(space, key, x, k).selectExpr(quoted(key), "near.neighbour AS _near")
     copies, rest = divmod(need, n_minor)
-    extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed))
+    table, extra = take(minority, label, {minor: rest}, key, order or xxhash_order(seed))
     starts = (
-        minority.selectExpr("*", f"{copies} + int({extra}) AS _n")
+        table.selectExpr("*", f"{copies} + int({extra}) AS _n")
+        .drop(NTH)
         .filter("_n > 0")
         .join(near, key)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))

@@ -3,17 +3,20 @@
 All of them rest on one idea: give each row a hash, and find the (hash, key) pair below which
 exactly the wanted number of rows lie. The pairs come from a few narrow counting passes; what is
 left is a filter or a ``CASE`` on the row itself. Nothing is sorted or shuffled, the result does
-not depend on partitioning, and it is the same when a lost task is run again.
+not depend on partitioning, and it is the same when a lost task is run again. Only where a cut goes
+through rows that are equal in all columns are these counted and laid out anew.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import HashOrder, quoted, text, with_exprs, xxhash_order
 
@@ -96,36 +99,54 @@ def class_counts(df: DataFrame, label: str) -> dict[Stratum, int]:
     return {r[label]: r["count"] for r in rows}
 
 
+@dataclass(frozen=True)
+class _Cut:
+    """Rows up to and with the pair (h, k); ``want`` of the rows that have the pair itself, or all if ``None``."""
+
+    h: int
+    k: int
+    want: int | None = None
+
+
 def _cuts(
     rows: DataFrame, span: int, ranks: Mapping[Stratum, Sequence[int]]
-) -> dict[Stratum, list[tuple[int, int] | None]]:
-    """For each stratum and rank r: the (h, key) pair that exactly r rows do not exceed.
+) -> dict[Stratum, list[_Cut | None]]:
+    """For each stratum and rank r: the cut that exactly r rows do not exceed.
 
     ``None`` stands for "no row" (r <= 0). A rank at or above the stratum's size gives a pair that
     every row is below.
     """
     sizes = {
-        r["_g"]: (r["n"], r["k_lo"], r["k_hi"])
+        r["_g"]: (r["n"], r["k_lo"], r["k_hi"], r["nulls"])
         for r in rows.groupBy("_g")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_k").alias("k_lo"), F.max("_k").alias("k_hi"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("_k").alias("k_lo"),
+            F.max("_k").alias("k_hi"),
+            F.count_if(F.col("_k").isNull()).alias("nulls"),
+        )
         .collect()
     }
-    found: dict[tuple[Stratum, int], tuple[int, int] | None] = {}
+    if any(nulls for *_, nulls in sizes.values()):
+        raise ValueError("there are null keys: they have no place in the order")
+    found: dict[tuple[Stratum, int], _Cut | None] = {}
     targets: list[_Target] = []
     for g, wanted in ranks.items():
-        n, k_lo, k_hi = sizes.get(g, (0, 0, 0))
+        n, k_lo, k_hi, _ = sizes.get(g, (0, 0, 0, 0))
         for r in set(wanted):
             if r <= 0:
                 found[g, r] = None
             elif r >= n:
-                found[g, r] = (span, 0)
+                found[g, r] = _Cut(span, 0)
             else:
                 targets.append(_Target(r, _Range(g, 0, span, k_lo, k_hi + 1), 0, n))
 
+    def settle(t: _Target, pair: tuple[int, int], below: int, equal: int) -> None:
+        want = t.rank - below
+        found[t.where.stratum, t.rank] = _Cut(*pair, want if want < equal else None)
+
     while wide := [t for t in targets if t.count > SETTLE_ROWS]:
         ranges = list({t.where for t in wide})
-        if any(w.on_key and w.k_hi - w.k_lo == 1 for w in ranges):
-            raise ValueError("the key repeats: exact sampling needs one row per key")
         which = _case([(w.test, i) for i, w in enumerate(ranges)])
         part = _case([(w.test, w.part_number) for w in ranges])
         split = (
@@ -144,6 +165,9 @@ def _cuts(
                     t.where, t.count = t.where.part(p), n
                     break
                 t.below += n
+        for t in [t for t in wide if t.where.on_key and t.where.k_hi - t.where.k_lo == 1]:
+            settle(t, (t.where.h_lo, t.where.k_lo), t.below, t.count)  # one pair, however many rows
+            targets.remove(t)
 
     if targets:
         ranges = list({t.where for t in targets})
@@ -154,38 +178,101 @@ def _cuts(
         for members in pairs.values():
             members.sort()
         for t in targets:
-            found[t.where.stratum, t.rank] = pairs[ranges.index(t.where)][t.rank - t.below - 1]
+            members = pairs[ranges.index(t.where)]
+            pair = members[t.rank - t.below - 1]
+            first = bisect_left(members, pair)
+            settle(t, pair, t.below + first, bisect_right(members, pair) - first)
     return {g: [found[g, r] for r in wanted] for g, wanted in ranks.items()}
 
 
-def _within(h: str, key: str, cut: tuple[int, int] | None) -> str:
-    if cut is None:
-        return "false"
-    return f"({h} < {cut[0]}L OR ({h} = {cut[0]}L AND {key} <= {cut[1]}L))"
+NTH = "_nth"
+_TIE_SPAN = 2**40
 
 
-def _hashed(df: DataFrame, key: str, order: HashOrder, stratum: str) -> DataFrame:
-    """Stratum, key and hash of each row. A null key has no place in the order and is refused."""
-    if df.filter(f"bigint({quoted(key)}) IS NULL").limit(1).count():
-        raise ValueError(f"{key} has null keys")
-    k = f"bigint({quoted(key)})"
-    return df.selectExpr(f"{stratum} AS _g", f"{k} AS _k", f"{order.of(k)} AS _h")
+def _tie(df: DataFrame) -> str:
+    """A hash of the whole row, to order rows of equal keys by."""
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return f"shiftright(xxhash64({', '.join(map(quoted, hashable))}), 1)"  # differences stay within 64 bits
+
+
+def _numbered(df: DataFrame, chosen: str) -> DataFrame:
+    """``df`` with :data:`NTH`: 0, or where ``chosen`` holds the row's number among its equals, from 1.
+
+    Equal rows can stand for each other, so they are counted per partition and row, and laid out again
+    from the counts: no task gets all copies of a row.
+    """
+    rest = df.filter(f"NOT coalesce({chosen}, false)").withColumn(NTH, F.lit(0).cast("bigint"))
+    same = df.filter(chosen).withColumn("_part", F.spark_partition_id())
+    counted = same.groupBy(*map(quoted, df.columns), "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.expr(_tie(df))).orderBy("_part", *map(quoted, df.columns))
+    start = F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    laid = counted.withColumn("_start", start).selectExpr("*", f"explode(sequence(_start + 1, _start + _n)) AS {NTH}")
+    return rest.unionByName(laid.select(*map(quoted, df.columns), NTH))
+
+
+def _ordered(
+    df: DataFrame, key: str, order: HashOrder, stratum: str, ranks: Mapping[Stratum, Sequence[int]]
+) -> tuple[DataFrame, dict[Stratum, list[str]]]:
+    """For each stratum and rank r a condition that exactly r rows meet, first in hash order.
+
+    Rows are ordered by the hash of their key. Where a cut falls between rows of one key, these rows are
+    ordered by a hash of the whole row, and where it falls between equal rows, those are numbered: then the
+    table comes back with the column :data:`NTH`.
+    """
+    k, tie = f"bigint({quoted(key)})", _tie(df)
+    h, h2 = order.of(k), f"pmod({tie}, {_TIE_SPAN}L)"
+    cuts = _cuts(df.selectExpr(f"{stratum} AS _g", f"{k} AS _k", f"{h} AS _h"), order.span, ranks)
+    # The pairs that a cut goes through, and how many of their rows it wants.
+    pairs: dict[tuple[Stratum, int, int], list[int]] = {}
+    for g, own in cuts.items():
+        for cut in own:
+            if cut is not None and cut.want is not None:
+                pairs.setdefault((g, cut.h, cut.k), []).append(cut.want)
+    at = {pair: i for i, pair in enumerate(pairs)}
+    tests = [(f"({stratum} <=> {_literal(g)} AND {h} = {a}L AND {k} = {b}L)", i) for (g, a, b), i in at.items()]
+    inner: dict[Stratum, list[_Cut | None]] = {}
+    if pairs:
+        equals = df.selectExpr(f"{_case(tests)} AS _g", f"{tie} AS _k", f"{h2} AS _h").filter("_g IS NOT NULL")
+        inner = _cuts(equals, _TIE_SPAN, {i: pairs[pair] for pair, i in at.items()})
+    within = {(i, want): cut for pair, i in at.items() for want, cut in zip(pairs[pair], inner[i])}
+    split = sorted({(i, cut.k) for (i, _), cut in within.items() if cut.want is not None})
+    if split:
+        df = _numbered(df, " OR ".join(f"({tests[i][0]} AND {tie} = {b}L)" for i, b in split))
+
+    def condition(g: Stratum, cut: _Cut | None) -> str:
+        if cut is None:
+            return "false"
+        if cut.want is None:
+            return f"({h} < {cut.h}L OR ({h} = {cut.h}L AND {k} <= {cut.k}L))"
+        own = within[at[g, cut.h, cut.k], cut.want]
+        last = "true" if own.want is None else f"{NTH} <= {own.want}"
+        same = f"({h2} < {own.h}L OR ({h2} = {own.h}L AND ({tie} < {own.k}L OR ({tie} = {own.k}L AND {last}))))"
+        return f"({h} < {cut.h}L OR ({h} = {cut.h}L AND ({k} < {cut.k}L OR ({k} = {cut.k}L AND {same}))))"
+
+    return df, {g: [condition(g, cut) for cut in own] for g, own in cuts.items()}
 
 
 def take(
     df: DataFrame, label: str | None, quotas: Mapping[Stratum, int], key: str, order: HashOrder
-) -> str:
-    """A condition that holds for exactly ``quotas[label]`` rows of each label, first in hash order."""
+) -> tuple[DataFrame, str]:
+    """The table, and a condition that holds for exactly ``quotas[label]`` of its rows, first in hash order.
+
+    Keys may repeat. The table has the helper column :data:`NTH` if equal rows had to be told apart; drop it.
+    """
     stratum = "0" if label is None else quoted(label)
-    cuts = _cuts(_hashed(df, key, order, stratum), order.span, {g: [q] for g, q in quotas.items()})
-    k = f"bigint({quoted(key)})"
-    branches = [(f"{stratum} <=> {_literal(g)}", _within(order.of(k), k, cut)) for g, (cut,) in cuts.items()]
-    return f"({_case(branches, 'false')})"
+    df, tests = _ordered(df, key, order, stratum, {g: [q] for g, q in quotas.items()})
+    branches = [(f"{stratum} <=> {_literal(g)}", test) for g, (test,) in tests.items()]
+    return df, f"({_case(branches, 'false')})"
+
+
+def _taken(df: DataFrame, label: str | None, quotas: Mapping[Stratum, int], key: str, order: HashOrder) -> DataFrame:
+    table, test = take(df, label, quotas, key, order)
+    return table.filter(test).drop(NTH)
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, order: HashOrder | None = None) -> DataFrame:
     """Exactly ``n`` rows without replacement (all rows if there are fewer)."""
-    return df.filter(take(df, None, {0: n}, key, order or xxhash_order(seed)))
+    return _taken(df, None, {0: n}, key, order or xxhash_order(seed))
 
 
 def proportional_quotas(counts: Mapping[Stratum, int], n: int) -> dict[Stratum, int]:
@@ -206,7 +293,7 @@ def sample_stratified(
 ) -> DataFrame:
     """Exactly ``n`` rows with the label shares of ``df``."""
     quotas = proportional_quotas(class_counts(df, label), n)
-    return df.filter(take(df, label, quotas, key, order or xxhash_order(seed)))
+    return _taken(df, label, quotas, key, order or xxhash_order(seed))
 
 
 def stratified_folds(
@@ -224,14 +311,12 @@ def stratified_folds(
         g: [sum(-(-(n - i) // k) for i in range(j)) for j in range(1, k)]
         for g, n in class_counts(df, label).items()
     }
-    cuts = _cuts(_hashed(df, key, order, quoted(label)), order.span, ranks)
-    kk = f"bigint({quoted(key)})"
-    h = order.of(kk)
+    table, tests = _ordered(df, key, order, quoted(label), ranks)
     branches = []
-    for g, pairs in cuts.items():
-        of_label = _case([(_within(h, kk, pair), i) for i, pair in enumerate(pairs)], k - 1)
+    for g, own in tests.items():
+        of_label = _case([(test, i) for i, test in enumerate(own)], k - 1)
         branches.append((f"{quoted(label)} <=> {_literal(g)}", of_label))
-    return with_exprs(df, {out: f"int({_case(branches)})"})
+    return with_exprs(table, {out: f"int({_case(branches)})"}).drop(NTH)
 
 
 def _two_classes(df: DataFrame, label: str) -> tuple[Stratum, int, Stratum, int]:
@@ -256,7 +341,7 @@ def undersample(
     if quota > n_major:
         raise ValueError(f"ratio {ratio} would need more majority rows than there are")
     quotas = {minor: n_minor, major: quota}
-    return df.filter(take(df, label, quotas, key, order or xxhash_order(seed)))
+    return _taken(df, label, quotas, key, order or xxhash_order(seed))
 
 
 def oversample(
@@ -276,8 +361,8 @@ def oversample(
     minor, n_minor, _, n_major = _two_classes(df, label)
     target = max(int(n_major * ratio), n_minor)
     copies, rest = divmod(target, n_minor)
-    extra = take(df, label, {minor: rest}, key, order or xxhash_order(seed))
+    table, extra = take(df, label, {minor: rest}, key, order or xxhash_order(seed))
     count = f"CASE WHEN {quoted(label)} = {_literal(minor)} THEN {copies} + int({extra}) ELSE 1 END"
     number = copy_col or "_copy"
-    repeated = df.selectExpr("*", f"explode(sequence(1, {count})) AS {quoted(number)}")
+    repeated = table.selectExpr("*", f"explode(sequence(1, {count})) AS {quoted(number)}").drop(NTH)
     return repeated if copy_col else repeated.drop(number)

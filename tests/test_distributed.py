@@ -132,10 +132,35 @@ def test_sample_where_hashes_collide(spark, small_ranges):
     assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
 
 
-def test_sample_rejects_repeated_keys(spark, small_ranges):
-    df = spark.createDataFrame([(1, 0)] * 50, "id bigint, y int")
-    with pytest.raises(ValueError, match="repeats"):
-        sampling.sample_n(df, 10, "id")
+@pytest.mark.parametrize("equal", [0, 30, 50])
+@pytest.mark.parametrize("settle", [5, 10_000])
+def test_repeated_keys(spark, monkeypatch, settle, equal):
+    """Cuts go between the rows of one key, and between rows that are equal in all columns."""
+    monkeypatch.setattr(sampling, "SETTLE_ROWS", settle)
+    rows = [(7, 0, max(0, i - equal + 1)) for i in range(50)] + [(i, i % 2, 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, y int, v int").repartition(6)
+    one = df.where("id = 7 AND y = 0")
+    for n in (0, 1, 10, 49, 50, 99):
+        assert sampling.sample_n(one, n, "id").count() == min(n, 50)
+        assert sampling.sample_n(df, n, "id").count() == n
+    taken = sampling.sample_n(df, 40, "id")
+    assert sorted(taken.collect()) == sorted(sampling.sample_n(df.repartition(3), 40, "id").collect())
+    assert taken.columns == df.columns
+    folded = sampling.stratified_folds(df, "y", 3, "id")
+    sizes = {(r.y, r.fold): r["count"] for r in folded.groupBy("y", "fold").count().collect()}
+    for y, n in ((0, 80), (1, 30)):
+        assert sorted(sizes[y, f] for f in range(3)) == sorted(n // 3 + (i < n % 3) for i in range(3))
+    assert sorted(folded.drop("fold").collect()) == sorted(df.collect())
+    halved = sampling.undersample(df, "y", "id", 1.0).groupBy("y").count().collect()
+    assert {r.y: r["count"] for r in halved} == {0: 30, 1: 30}
+    many = sampling.oversample(df.selectExpr("id", "1 - y AS y", "v").unionByName(df.where("y = 1").selectExpr("id + 100 AS id", "y - 1 AS y", "v")), "y", "id", 1.0)
+    assert {r.y: r["count"] for r in many.groupBy("y").count().collect()} == {0: 80, 1: 80}
+
+
+def test_null_keys_are_refused(spark):
+    df = spark.createDataFrame([(1, 0), (None, 1)], "id bigint, y int")
+    with pytest.raises(ValueError, match="null"):
+        sampling.sample_n(df, 1, "id")
 
 
 def test_sample_does_not_depend_on_partitioning(spark):
