@@ -128,12 +128,6 @@ class _Distinct:
         out[self.places] = flags[self.back]
         return out
 
-    def gathered(self, flags: np.ndarray) -> np.ndarray:
-        """A flag per place, as one per distinct phrase. Equal phrases have equal flags."""
-        out = np.zeros(len(self.keys), bool)
-        out[self.back] = flags[self.places]
-        return out
-
     def first(self) -> np.ndarray:
         """A place of each distinct phrase."""
         out = np.zeros(len(self.keys), np.int64)
@@ -258,34 +252,52 @@ class _Any:
         return out
 
 
-def _walk(chunk: _Chunk, probe: _Any) -> Iterator[tuple[_Distinct, np.ndarray, np.ndarray]]:
-    """Size by size: the distinct phrases whose two parts are members, their places' hashes, and who is a member."""
-    inside = np.zeros(0, bool)
-    for size, grams in chunk.grams():
-        found = _Distinct(size, grams, np.flatnonzero(grams) if size == 1 else np.flatnonzero(inside[:-1] & inside[1:]))
-        known = probe.has(found.keys)
-        inside = found.spread(known)
-        yield found, grams, known
+def _among(probe: _Any, chunk: _Chunk) -> np.ndarray:
+    """Per place, whether its word is a member."""
+    return (probe.has(chunk.hashes) & (chunk.hashes != 0))[chunk.ids]
 
 
-def _border(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: perfect_hash.Index | None, ranges: int, least: int) -> DataFrame:
-    """Counts of the proposed phrases and of their border; with ``fresh`` only what those among them bring in."""
+def _border(docs: DataFrame, proposed: perfect_hash.Index, ranges: int, least: int) -> DataFrame:
+    """Counts of the proposed phrases and of their border, and of all words per language."""
 
     def run(batches):
-        probe, newer = _Any(proposed), fresh and fresh.reader()
+        probe = _Any([proposed])
         for chunk in _chunks(batches):
-            if fresh is None:
-                yield _totals(chunk)
-            new = np.zeros(0, bool)
-            for found, _, known in _walk(chunk, probe):
-                # All words are at the border of the first pass: their own parts are empty.
-                kept = np.ones(len(known), bool)
-                if fresh is not None:
-                    kept = found.gathered(new[:-1] | new[1:]) if found.size > 1 else ~kept
-                    new = found.spread(newer.has(found.keys))
+            yield _totals(chunk)
+            inside = np.zeros(0, bool)
+            for size, grams in chunk.grams():
+                # All words are at the border: their own parts are empty.
+                places = np.flatnonzero(grams) if size == 1 else np.flatnonzero(inside[:-1] & inside[1:])
+                found = _Distinct(size, grams, places)
+                known = probe.has(found.keys)
+                inside = found.spread(known)
                 for flag in (False, True):
-                    some = kept & (known == flag)
-                    yield from _packed(found.keys[some], found.n[some], found.size, flag, ranges)
+                    yield from _packed(found.keys[known == flag], found.n[known == flag], size, flag, ranges)
+
+    return _counted(docs, run, least)
+
+
+def _widened(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: perfect_hash.Index, ranges: int, least: int) -> DataFrame:
+    """Counts of what the fresh phrases, proposed now themselves, bring to the border: phrases with a fresh part."""
+
+    def run(batches):
+        probe, newer = _Any(proposed), _Any([fresh])
+        for chunk in _chunks(batches):
+            every, parts = _among(probe, chunk), np.zeros(0, np.uint64)
+            whole, new = every, _among(newer, chunk)
+            for size, grams in chunk.grams():
+                if size > 1:
+                    whole = whole[:-1] & every[size - 1 :]
+                    places = np.flatnonzero((new[:-1] | new[1:]) & whole)
+                    places = places[probe.has(parts[places]) & probe.has(parts[places + 1])]
+                    found = _Distinct(size, grams, places)
+                    known = probe.has(found.keys)
+                    for flag in (False, True):
+                        yield from _packed(found.keys[known == flag], found.n[known == flag], size, flag, ranges)
+                    at = np.flatnonzero(whole) if size < LONGEST else places[:0]
+                    new = np.zeros(len(grams), bool)
+                    new[at] = newer.has(grams[at])
+                parts = grams
 
     return _counted(docs, run, least)
 
@@ -295,18 +307,20 @@ def _index(keys: DataFrame) -> perfect_hash.Index:
     return perfect_hash.build(keys, keys.count(), label="phrase-index")
 
 
-def _spelled(docs: DataFrame, all_keys: perfect_hash.Index, wanted: perfect_hash.Index) -> DataFrame:
-    """(key, lang, phrase) of the wanted phrases, those that occur. The parts of each must be among all keys."""
+def _spelled(docs: DataFrame, frequent: perfect_hash.Index, wanted: perfect_hash.Index) -> DataFrame:
+    """(key, lang, phrase) of the wanted phrases, those that occur. Their words must be among the frequent ones."""
 
     def run(batches):
-        probe, reader = _Any([all_keys]), wanted.reader()
+        probe, reader = _Any([frequent]), wanted.reader()
         for chunk in _chunks(batches):
-            for found, _, known in _walk(chunk, probe):
-                some = np.flatnonzero(known)
-                some = some[reader.has(found.keys[some])]
-                names = [chunk.phrase(place, found.size) for place in found.first()[some].tolist()]
+            every = whole = _among(probe, chunk)
+            for size, grams in chunk.grams():
+                whole = whole if size == 1 else whole[:-1] & every[size - 1 :]
+                places = np.flatnonzero(whole)
+                found = _Distinct(size, grams, places[reader.has(grams[places])])
+                names = [chunk.phrase(place, size) for place in found.first().tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.keys[some].view(np.int64)), pa.array([chunk.lang] * len(some), pa.string()), pa.array(names, pa.binary()).cast(pa.string())],
+                    [pa.array(found.keys.view(np.int64)), pa.array([chunk.lang] * len(names), pa.string()), pa.array(names, pa.binary()).cast(pa.string())],
                     ["key", "lang", "phrase"],
                 )
 
@@ -327,14 +341,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE) ->
     few, many = (max(1, -(-bytes_ * times // _RANGE_BYTES)) for times in (1, sample))
     words = _words(part, few, lowered)
     longer = _made_of(part, _index(words), few, lowered)
-    proposed, fresh, passes = [_index(words.select("key").unionByName(longer.select("key")))], None, []
-    while True:
-        passes.append(_border(docs, proposed, fresh, many, least))
-        failures = passes[-1].where(f"NOT known AND size < {LONGEST}")
-        if failures.isEmpty():
-            break
-        fresh = _index(failures)
-        proposed.append(fresh)
+    proposed = [_index(words.select("key").unionByName(longer.select("key")))]
+    passes = [_border(docs, proposed[0], many, least)]
+    while not (failures := passes[-1].where(f"NOT known AND size < {LONGEST}")).isEmpty():
+        proposed.append(_index(failures))
+        passes.append(_widened(docs, proposed, proposed[-1], many, least))
     totals = passes[0].where("size = 0").select("lang", "n")
     # A wrong hit in the index of failures may have a phrase counted, to the same number, in two passes.
     found = reduce(DataFrame.unionByName, passes).where("size > 0").groupBy("key", "size").agg(F.max("n").alias("n"))
