@@ -8,9 +8,9 @@ joins the proposed ones, and a further pass counts what is new at the border, un
 
 The proposed phrases are kept as a sharded perfect hash (:mod:`perfect_hash`) that tasks map, so they may be many.
 A wrong hit there only makes the border wider. Occurrences are counted a few megabytes at a time and leave a task as sorted
-64-bit hashes with their counts, packed by range of hashes; a range is added up by one task. Only frequent
-phrases are ever spelled out: from the sample, and the few it lacks from the other documents. Two phrases of the corpus
-with the same hash would be counted as one.
+64-bit hashes with their counts, packed by range of hashes; a range is added up by one task. Proposed phrases that
+are frequent are spelled out from the sample, failures in the further passes, which meet few phrases. Two phrases
+of the corpus with the same hash would be counted as one.
 """
 
 from __future__ import annotations
@@ -160,6 +160,33 @@ def _packed(keys: np.ndarray, n: np.ndarray, size: int, known: bool, ranges: int
     )
 
 
+def _named(chunk: _Chunk, found: _Distinct, kept: np.ndarray, frequent: bool, ranges: int) -> Iterator[pa.RecordBatch]:
+    """The words of some distinct phrases: as :func:`_packed`, the size negative, names in place of counts.
+
+    ``frequent`` says that they are known to be, else their counts in the same pass decide.
+    """
+    if not kept.any():
+        return
+    keys, places = found.keys[kept], found.first()[kept]
+    order = np.argsort(keys)
+    keys = keys[order]
+    names = [chunk.phrase(place, found.size) for place in places[order].tolist()]
+    which = perfect_hash.shard_of(keys, ranges)
+    cuts = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(keys)].tolist()
+    rows = len(cuts) - 1
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(which[cuts[:-1]].astype(np.int32)),
+            pa.array(np.full(rows, -found.size, np.int32)),
+            pa.array([frequent] * rows),
+            pa.array([chunk.lang] * rows, pa.string()),
+            pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([b"\n".join(names[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),  # no word has a line end
+        ],
+        _FIELDS,
+    )
+
+
 _FIELDS = ["range", "size", "known", "lang", "keys", "n"]
 
 
@@ -171,13 +198,19 @@ def _totals(chunk: _Chunk) -> pa.RecordBatch:
 
 
 def _added(table: pa.Table, least: int) -> pa.Table:
-    """The packed rows of one range added up; phrases below ``least`` go."""
+    """The packed rows of one range added up; phrases below ``least`` go, and so do their names.
+
+    A spelled phrase is a row of its own, with size -1.
+    """
     table = table.combine_chunks()
     sizes, known = table["size"].to_numpy(), table["known"].to_numpy(zero_copy_only=False)
-    out = {name: [] for name in ("key", "size", "known", "lang", "n")}
+    kinds = {"key": pa.int64(), "size": pa.int32(), "known": pa.bool_(), "lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
+    out: dict[str, list] = {name: [] for name in kinds}
 
-    def add(keys, size, flag, lang, n):
-        for name, value in (("key", keys), ("size", [size] * len(keys)), ("known", [flag] * len(keys)), ("lang", [lang] * len(keys)), ("n", n)):
+    def add(keys, size, flag, lang, n, phrases=None):
+        many = len(keys)
+        columns = keys, [size] * many, [flag] * many, [lang] * many, phrases or [None] * many, n
+        for name, value in zip(kinds, columns):
             out[name] += value
 
     totals: dict[str, int] = {}
@@ -198,14 +231,22 @@ def _added(table: pa.Table, least: int) -> pa.Table:
             n = np.add.reduceat(n, starts)
             kept = n >= least
             add(keys[starts][kept].view(np.int64).tolist(), size, flag, None, n[kept].tolist())
-    kinds = {"key": pa.int64(), "size": pa.int32(), "known": pa.bool_(), "lang": pa.string(), "n": pa.int64()}
+    spelled: dict[int, tuple[str, bytes]] = {}
+    counted = set(out["key"])
+    for at in np.flatnonzero(sizes < 0).tolist():
+        lang = table["lang"][at].as_py()
+        for key, name in zip(np.frombuffer(table["keys"][at].as_py(), np.int64).tolist(), table["n"][at].as_py().split(b"\n")):
+            if known[at] or key in counted:
+                spelled[key] = lang, name
+    for key, (lang, name) in spelled.items():
+        add([key], -1, True, lang, [0], [name.decode()])
     return pa.table({name: pa.array(out[name], kind) for name, kind in kinds.items()})
 
 
 def _counted(docs: DataFrame, run, least: int) -> DataFrame:
     """(key, size, known, lang, n) of the phrases that ``run`` counts, ``least`` and more."""
     rows = docs.select("lang", "text").mapInArrow(run, _PACKED)
-    counted = rows.groupBy("range").applyInArrow(lambda t: _added(t, least), "key long, size int, known boolean, lang string, n long")
+    counted = rows.groupBy("range").applyInArrow(lambda t: _added(t, least), "key long, size int, known boolean, lang string, phrase string, n long")
     return materialize(counted, "counted")
 
 
@@ -258,7 +299,10 @@ def _among(probe: _Any, chunk: _Chunk) -> np.ndarray:
 
 
 def _border(docs: DataFrame, proposed: perfect_hash.Index, ranges: int, least: int) -> DataFrame:
-    """Counts of the proposed phrases and of their border, and of all words per language."""
+    """Counts of the proposed phrases and of their border, and of all words per language.
+
+    The longest border phrases are spelled too: they are few, and no further pass looks for them.
+    """
 
     def run(batches):
         probe = _Any([proposed])
@@ -273,18 +317,25 @@ def _border(docs: DataFrame, proposed: perfect_hash.Index, ranges: int, least: i
                 inside = found.spread(known)
                 for flag in (False, True):
                     yield from _packed(found.keys[known == flag], found.n[known == flag], size, flag, ranges)
+                if size == LONGEST:
+                    yield from _named(chunk, found, ~known, False, ranges)
 
     return _counted(docs, run, least)
 
 
 def _widened(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: perfect_hash.Index, ranges: int, least: int) -> DataFrame:
-    """Counts of what the fresh phrases, proposed now themselves, bring to the border: phrases with a fresh part."""
+    """Counts of what the fresh phrases, proposed now themselves, bring to the border: phrases with a fresh part.
+
+    All these are spelled, and so are the fresh phrases, which the first pass did not spell.
+    """
 
     def run(batches):
         probe, newer = _Any(proposed), _Any([fresh])
         for chunk in _chunks(batches):
             every, parts = _among(probe, chunk), np.zeros(0, np.uint64)
             whole, new = every, _among(newer, chunk)
+            words = _Distinct(1, chunk.hashes[chunk.ids], np.flatnonzero(new))
+            yield from _named(chunk, words, np.ones(len(words.keys), bool), True, ranges)
             for size, grams in chunk.grams():
                 if size > 1:
                     whole = whole[:-1] & every[size - 1 :]
@@ -294,9 +345,12 @@ def _widened(docs: DataFrame, proposed: Sequence[perfect_hash.Index], fresh: per
                     known = probe.has(found.keys)
                     for flag in (False, True):
                         yield from _packed(found.keys[known == flag], found.n[known == flag], size, flag, ranges)
+                    yield from _named(chunk, found, np.ones(len(known), bool), False, ranges)
                     at = np.flatnonzero(whole) if size < LONGEST else places[:0]
                     new = np.zeros(len(grams), bool)
                     new[at] = newer.has(grams[at])
+                    own = _Distinct(size, grams, np.flatnonzero(new))
+                    yield from _named(chunk, own, np.ones(len(own.keys), bool), True, ranges)
                 parts = grams
 
     return _counted(docs, run, least)
@@ -343,7 +397,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE) ->
     longer = _made_of(part, _index(words), few, lowered)
     proposed = [_index(words.select("key").unionByName(longer.select("key")))]
     passes = [_border(docs, proposed[0], many, least)]
-    while not (failures := passes[-1].where(f"NOT known AND size < {LONGEST}")).isEmpty():
+    while not (failures := passes[-1].where(f"NOT known AND size BETWEEN 1 AND {LONGEST - 1}")).isEmpty():
         proposed.append(_index(failures))
         passes.append(_widened(docs, proposed, proposed[-1], many, least))
     totals = passes[0].where("size = 0").select("lang", "n")
@@ -351,10 +405,12 @@ def frequent_phrases(docs: DataFrame, least: int = 30, sample: int = SAMPLE) ->
     found = reduce(DataFrame.unionByName, passes).where("size > 0").groupBy("key", "size").agg(F.max("n").alias("n"))
     found = materialize(found, "frequent")
     keys = _index(found)
-    names = materialize(_spelled(part, keys, keys), "spelled")
+    spelled = reduce(DataFrame.unionByName, passes).where("size = -1").select("key", "lang", "phrase")
+    names = materialize(_spelled(part, keys, keys).unionByName(spelled).dropDuplicates(["key"]), "spelled")
     lacking = found.join(names, "key", "left_anti")
-    rest = _spelled(docs.where(~F.coalesce(sampled, F.lit(False))), keys, _index(lacking))
-    names = names.unionByName(rest)
+    if not lacking.isEmpty():  # a wrong hit took a failure for a proposed phrase
+        rest = _spelled(docs.where(~F.coalesce(sampled, F.lit(False))), keys, _index(lacking))
+        names = names.unionByName(rest)
     # A wrong hit in the index of keys may spell a phrase that is not frequent; it has no count.
     return materialize(found.join(names, "key").drop("key"), "phrases"), totals
 

@@ -25,6 +25,7 @@ from .common import mixed
 ENTRIES = 1_000_000
 _SPACE = 2  # bits of a level per key that is still to be placed
 _LEVELS = 32
+_SIEVE = 8  # bits per key that tell at once, for most keys that are not there, that they are not
 _HELD_BYTES = 64_000_000  # of shards that cannot be mapped
 
 
@@ -159,13 +160,20 @@ class Reader:
         out = np.zeros(len(keys), bool)
         for n, mine in self._dealt(keys):
             levels, arrays = self._shard(n)
-            own, mark = levels.slots(keys[mine]), arrays["mark"]
+            asked, sieve = keys[mine], arrays["sieve"]
+            low = asked & np.uint64(len(sieve) * 8 - 1)
+            left = np.flatnonzero((sieve[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
+            own, mark = levels.slots(asked[left]), arrays["mark"]
             known = own >= 0
-            known[known] = mark[own[known]] == mixed(keys[mine][known]).astype(mark.dtype)
-            out[mine] = known
+            known[known] = mark[own[known]] == mixed(asked[left][known]).astype(mark.dtype)
+            out[mine[left]] = known
         return out
 
     def _dealt(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        if len(self._index.paths) == 1:
+            if len(keys) and self._index.paths[0] is not None:
+                yield 0, np.arange(len(keys))
+            return
         shards = shard_of(keys, len(self._index.paths))
         order = np.argsort(shards, kind="stable")
         for mine in np.split(order, np.flatnonzero(np.diff(shards[order])) + 1):
@@ -176,7 +184,8 @@ class Reader:
 def build(entries: DataFrame, n: int, mark: str | None = None, label: str = "perfect-hash") -> Index:
     """An index over ``entries``: key, and mark and n (both long) if ``mark`` names the fingerprint's type.
 
-    ``n`` is the number of entries. Without ``mark`` a fingerprint of 16 bits is drawn from the key. A shard is
+    ``n`` is the number of entries. Without ``mark`` a fingerprint of 32 bits is drawn from the key, whose low bits
+    must be as good as random: a byte a key sieves out most that are not there. A shard is
     built by one task from about ``ENTRIES`` rows; each attempt writes a file of its own and only names
     come back to the driver.
     """
@@ -192,8 +201,11 @@ def build(entries: DataFrame, n: int, mark: str | None = None, label: str = "per
         slots[~placed] = int(levels.before[-1]) + np.argsort(np.argsort(keys[~placed], kind="stable"), kind="stable")
         arrays = {"sizes": levels.sizes, "words": levels.words, "before": levels.before, "strays": levels.strays}
         if mark is None:
-            arrays["mark"] = np.empty(len(keys), np.uint16)
-            arrays["mark"][slots] = mixed(keys).astype(np.uint16)
+            arrays["mark"] = np.empty(len(keys), np.uint32)
+            arrays["mark"][slots] = mixed(keys).astype(np.uint32)
+            bits = np.zeros(_SIEVE << len(keys).bit_length(), bool)
+            bits[keys & np.uint64(len(bits) - 1)] = True
+            arrays["sieve"] = np.packbits(bits, bitorder="little")
         else:
             arrays["mark"], arrays["n"] = np.empty(len(keys), mark), np.empty(len(keys), np.int64)
             arrays["mark"][slots] = table["mark"].to_numpy().view(np.uint64).astype(mark)
