@@ -14,7 +14,7 @@ from ..plans import loan_columns as names
 from ..plans.history import join_histories
 from .fixtures import children, fixture
 from .registry import ORDER, SEED, check, settle
-from .sql import check_sql, dbl, settled_select
+from .sql import check_sql, dbl, rounded, settled_select
 
 Y, S, KEY = names.LABEL, "SCORE", names.KEY
 _T = names.CHOSEN_THRESHOLD
@@ -256,7 +256,7 @@ _LONG = " UNION ALL ".join(
 @check(
     "t1_leaderboard",
     check_sql(
-        settled_select("b", ["mean_auc", "std_auc"], ["model", "folds"]),
+        settled_select("b", ["mean_auc", "std_auc"], ["model", "folds", f"row_number() OVER (ORDER BY {rounded('mean_auc', 4)} DESC, model) AS place"]),
         long=_LONG,
         per_fold=_auc_sql("long", "model, fold"),
         b="SELECT model, avg(auc) AS mean_auc, stddev_pop(auc) AS std_auc, count(*) AS folds FROM per_fold GROUP BY model",
@@ -270,9 +270,8 @@ def leaderboard(spark, sf):
     )
     long = table.select("fold", Y, F.inline(scores))
     per_fold = evaluation.auc(long, Y, S, by=["model", "fold"])
-    board = ranking.leaderboard(ranking.summarise_folds(per_fold, "model", "auc"), "mean_auc", "model")
-    kept = F.col("mean_auc").alias("mean_auc")
-    return settle(board.drop("mean_auc")).join(board.select("model", kept), "model")
+    board = ranking.leaderboard(ranking.summarise_folds(per_fold, "model", "auc"), "mean_auc", "model", place="place")
+    return settle(board)
 
 
 # Fixed weights over prepared columns: a stand-in for a fitted linear model that SQL can follow.

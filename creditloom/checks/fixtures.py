@@ -202,5 +202,9 @@ def _on(left: str, right: str):
     return F.col(left) == F.col(right)
 
 
+def child_columns(table: str) -> list[str]:
+    return list(_TABLES[table][3])
+
+
 def children(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fixture(spark, sf_dir, name) for name in CHILDREN}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import with_exprs
-from ..operators.joins import history_coverage, join_features
+from ..operators.joins import columns_added, history_coverage, join_features
 from ..plans import end_to_end
 from ..plans import loan_columns as names
 from ..plans.history import HISTORIES, aggregate_history
@@ -88,6 +90,21 @@ def join_test(spark, sf):
     return _joined(spark, sf, "test", CHILDREN, [names.KEY])
 
 
+def _added_sql(table: str) -> str:
+    counts, reals = HISTORY_SQL[table].columns()
+    return f"SELECT '{table}' AS child, CAST({len(counts) + len(reals)} AS BIGINT) AS added, count(*) AS n_rows FROM application"
+
+
+@check("j4_columns_added", check_sql(" UNION ALL ".join(map(_added_sql, CHILDREN))))
+def added(spark, sf):
+    """Columns that each child table adds to the applicants, and the rows, which a join leaves as many."""
+    table, found = fixture(spark, sf, "application"), []
+    for name, child in children(spark, sf).items():
+        joined = join_features(table, aggregate_history(name, child), key=names.KEY)
+        found.append(joined.selectExpr(f"'{name}' AS child", f"{columns_added(table, joined)}L AS added", "count(*) AS n_rows"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @check(
     "j5_coverage",
     check_sql(

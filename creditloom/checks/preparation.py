@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from ..operators import alignment, cleaning, features, models
 from ..plans import application as app
 from ..plans import loan_columns as names
 from ..session import new_path
-from ..sources import profile, read_table, write_scores
+from ..sources import head_n, profile, read_table, write_scores
 from . import sql
-from .fixtures import fixture
+from .fixtures import CHILDREN, child_columns, children, fixture
 from .registry import check, settle
 from .sql import check_sql, columns
 
@@ -48,6 +50,46 @@ def table_profile(spark, sf):
     return settle(profile(fixture(spark, sf, "scored"), names.LABEL, "SCORE"))
 
 
+def _child_sql(table: str) -> str:
+    nulls = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in child_columns(table))
+    return (
+        f"SELECT '{table}' AS child, count(*) AS n_rows, CAST({len(child_columns(table))} AS BIGINT) AS n_columns, "
+        f"CAST(sum(SK_ID_CURR) AS BIGINT) AS key_sum, CAST(sum({nulls}) AS BIGINT) AS n_nulls FROM {table}"
+    )
+
+
+@check("s2_children_csv", check_sql(" UNION ALL ".join(map(_child_sql, CHILDREN))))
+def children_csv(spark, sf):
+    """The five child tables as CSV files, read back by their schemas: rows, keys and nulls of each."""
+    found = []
+    for name, table in children(spark, sf).items():
+        path = new_path(spark, name)
+        write_scores(table, path)
+        again = read_table(spark, path, table.schema)
+        nulls = " + ".join(f"bigint({c} IS NULL)" for c in again.columns)
+        found.append(
+            again.selectExpr(
+                f"'{name}' AS child", "count(*) AS n_rows", f"{len(again.columns)}L AS n_columns",
+                f"sum({KEY}) AS key_sum", f"sum({nulls}) AS n_nulls",
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+@check(
+    "t4_head",
+    check_sql("SELECT SK_ID_CURR, AMT_CREDIT, EXT_SOURCE_2 FROM application ORDER BY AMT_CREDIT DESC, SK_ID_CURR LIMIT 25"),
+)
+def first_rows(spark, sf):
+    table = _app(spark, sf).select(KEY, "AMT_CREDIT", "EXT_SOURCE_2")
+    return head_n(table, 25, [F.desc("AMT_CREDIT"), KEY])
+
+
+@check("a6_feature_matrix", check_sql("SELECT * EXCLUDE (SK_ID_CURR, TARGET) FROM application"))
+def feature_matrix(spark, sf):
+    return alignment.feature_columns(_app(spark, sf), [KEY, names.LABEL])
+
+
 @check(
     "c1_sentinel",
     check_sql(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import quoted, round_half_away, with_exprs
 
@@ -15,9 +16,12 @@ def top_k(df: DataFrame, by: str, k: int, tie: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(by), F.asc(tie)).limit(k)
 
 
-def leaderboard(df: DataFrame, by: str, name: str, digits: int = 4) -> DataFrame:
-    """Rounded metric, best first."""
+def leaderboard(df: DataFrame, by: str, name: str, digits: int = 4, place: str | None = None) -> DataFrame:
+    """Rounded metric, best first; ``place`` numbers the rows, of which a report has few, from 1."""
     rounded = with_exprs(df, {by: round_half_away(quoted(by), digits)})
+    if place is not None:
+        order = Window.orderBy(F.desc_nulls_last(by), F.asc(name))
+        rounded = rounded.withColumn(place, F.row_number().over(order).cast("bigint"))
     return rounded.orderBy(F.desc_nulls_last(by), F.asc(name))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("creditloom.scratch", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):  # not local-cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="creditloom-")
         spark.conf.set("creditloom.scratch", folder)
