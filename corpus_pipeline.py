@@ -10,7 +10,7 @@ from creditloom.llm import byte_bpe, decontamination, minhash_dedup, quality_rul
 from creditloom.session import materialize
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
-#: No SQL can express hashing, singular vectors and merges; the tests compare with brute force.
+#: No SQL can express hashing, latent vectors and merges.
 ORACLE_SQL = None
 
 
