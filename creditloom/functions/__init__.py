@@ -8,6 +8,7 @@ from .scalar import (
     HashOrder,
     bin_by_edges,
     edge_index,
+    edge_search,
     finite_or_null,
     number,
     portable_order,
@@ -25,6 +26,7 @@ __all__ = [
     "HashOrder",
     "bin_by_edges",
     "edge_index",
+    "edge_search",
     "finite_or_null",
     "number",
     "portable_order",

@@ -111,6 +111,20 @@ def edge_index(x: str, edges: Sequence[float]) -> str:
     return _tree(x, edges, [str(i) for i in range(len(edges) + 1)])
 
 
+def edge_search(x: str, edges: Sequence[float]) -> str:
+    """As :func:`edge_index`, for any number of edges: a binary search in an array instead of a tree in the plan."""
+    if any(a >= b for a, b in zip(edges, edges[1:])):
+        raise ValueError("edges must be strictly ascending")
+    if not edges:
+        return "0"
+    steps = ", ".join(str(2**i) for i in reversed(range(len(edges).bit_length())))
+    array = f"transform(split({text(','.join(map(repr, map(float, edges))))}, ','), _edge -> double(_edge))"
+    # Names that no column has: a lambda's variables hide the columns of the row.
+    tried = "_edge_at + _edge_step"
+    step = f"(_edge_at, _edge_step) -> CASE WHEN {tried} <= {len(edges)} AND NOT {x} < get({array}, {tried} - 1) THEN {tried} ELSE _edge_at END"
+    return f"(CASE WHEN {x} IS NULL THEN {len(edges)} ELSE aggregate(array({steps}), 0, {step}) END)"
+
+
 def bin_by_edges(
     x: str, edges: Sequence[float], labels: Sequence[str], null_label: str | None = None
 ) -> str:

@@ -7,14 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions import edge_index, number, quoted
+from ..functions import edge_index, edge_search, number, quoted
 from .evaluation import COUNTS, add_metrics, confusion_counts
 from .quantiles import exact_medians
 from .ranking import argmax
 
 GRID = [i / 100 for i in range(1, 100)]
-MAX_GRID = 500
+TREE_GRID = 500  # above so many thresholds cells are searched for, and added up by running totals
 
 
 @dataclass(frozen=True)
@@ -56,13 +57,15 @@ def sweep_counts(df: DataFrame, label: str, score: str, grid: Sequence[float] =
     comparing with the thresholds themselves, never by scaling the score.
     """
     grid = sorted(set(grid))
-    if len(grid) > MAX_GRID:
-        raise ValueError(f"a grid of more than {MAX_GRID} thresholds is a ROC curve: use roc_curve")
+    fine = len(grid) > TREE_GRID
+    cell = (edge_search if fine else edge_index)(quoted(score), grid)
     cells = (
         df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.expr(edge_index(quoted(score), grid)).alias("_cell"))
+        .groupBy(F.expr(cell).alias("_cell"))
         .agg(F.count_if(F.col(label) == 0).alias("_n0"), F.count_if(F.col(label) == 1).alias("_n1"))
     )
+    if fine:
+        return _running(cells, grid)
     denied = F.col("_cell") > F.col("_at")
 
     def sum_where(count: str, test: Column) -> Column:
@@ -80,6 +83,17 @@ def sweep_counts(df: DataFrame, label: str, score: str, grid: Sequence[float] =
     )
 
 
+def _running(cells: DataFrame, grid: Sequence[float]) -> DataFrame:
+    """The counts at each threshold from running totals over the cells, a row per threshold and one more."""
+    rows = cells.sparkSession.createDataFrame([(i, t) for i, t in enumerate([*grid, None])], "_cell int, threshold double")
+    upto = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.orderBy("_cell").rowsBetween(1, Window.unboundedFollowing)
+    every = rows.join(cells, "_cell", "left").fillna(0, ["_n0", "_n1"])
+    counts = {"tn": ("_n0", upto), "fp": ("_n0", after), "fn": ("_n1", upto), "tp": ("_n1", after)}
+    summed = every.select("threshold", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(n) for n, (c, w) in counts.items()])
+    return summed.where("threshold IS NOT NULL")
+
+
 def threshold_sweep(
     df: DataFrame,
     label: str,
