@@ -128,7 +128,7 @@ def informative_words(docs: DataFrame, items: Items) -> dict[bytes, float]:
 
 
 def latent_basis(docs: DataFrame, weights: dict[bytes, float], rank: int = RANK, seed: int = 5) -> np.ndarray:
-    """Leading right singular vectors of all passages: one pass that sums Y = A'(A W) for a random W.
+    """An orthonormal basis near the leading right singular vectors: one pass sums Y = A'(A W) for a random W.
 
     Only an array of the size of the benchmark's vocabulary comes back.
     """
