@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from .common import rows_of
 
 # Elements by their part in a page, and words of class, id and role by what they hint at.
-SKIPPED = frozenset("script style template noscript head title svg iframe object canvas select option textarea button".split())
+RAW = frozenset("script style title textarea iframe noembed noframes".split())
+DROPPED = frozenset("head template noscript svg object canvas audio video select datalist optgroup option button".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
@@ -58,61 +59,90 @@ LABELLED = (
 )
 
 
+class _Left:
+    """An open element that is left out: its tag, the open blocks around it, the one around it that is left out too."""
+
+    __slots__ = ("tag", "depth", "outer", "closed", "blocks")
+
+    def __init__(self, tag: str, depth: int, outer: "_Left | None"):
+        self.tag, self.depth, self.outer, self.closed, self.blocks = tag, depth, outer, False, False
+
+
 class Tree(HTMLParser):
-    """Block elements and runs of text in page order; ``parents`` come before their children."""
+    """Block elements and runs of text in page order; ``parents`` come before their children.
+
+    Raw text (scripts, styles and the like) ends at its own end tag only, as in a browser. Other elements that are
+    left out end with their parent at the latest. One that has its end tag is left out whole; one that never gets it
+    holds no more than the text up to the next block. Time is linear in the page for blocks nested at any depth.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.parents, self.features, self.runs, self.labels = [-1], [("tag=root",)], [None], [0]
-        self._stack = [(0, "")]
-        self._skip, self._inline, self._text = [], [], []
+        # While a page is read: parent, features or pieces of text, label and the open elements left out.
+        self._nodes: list[tuple] = [(-1, ("tag=root",), 0, None)]
+        self._stack, self._open = [(0, "")], Counter()
+        self._raw, self._left, self._all_left, self._inline, self._text = None, None, [], [], []
 
     def _flush(self) -> None:
-        pieces, self._text = self._text, []
-        words = " ".join("".join(t for t, _ in pieces).split())
-        if words:
-            linked = sum(len(t) for t, link in pieces if link) / max(1, sum(len(t) for t, _ in pieces))
-            n = words.count(" ") + 1
-            length = "short" if n < 5 else "middle" if n < 12 else "long"
-            share = "none" if linked < 0.1 else "some" if linked < 0.6 else "most"
-            self._add((f"links={share}", f"length={length}"), words)
-
-    def _add(self, features: tuple[str, ...], run: str | None, label: str | None = None) -> int:
-        parent = self._stack[-1][0]
-        self.parents.append(parent)
-        self.features.append(features)
-        self.runs.append(run)
-        self.labels.append(self.labels[parent] if label is None else int(label))
-        return len(self.parents) - 1
+        if self._text:
+            self._nodes.append((self._stack[-1][0], self._text, None, None))
+            self._text = []
+
+    def _cut(self, at: int) -> None:
+        """Close the blocks from ``at`` on, and what was left out inside them."""
+        self._open.subtract(tag for _, tag in self._stack[at:])
+        del self._stack[at:]
+        while self._left and self._left.depth > at:
+            self._end_left()
+
+    def _end_left(self) -> None:
+        self._open[self._left.tag] -= 1
+        self._left = self._left.outer
+
+    def _close_left(self, tag: str) -> None:
+        """The end tag of an element that is left out: it goes with all it holds."""
+        if not self._open[tag]:
+            return
+        while self._left.tag != tag:
+            self._end_left()
+        if len(self._stack) > self._left.depth:
+            self._flush()
+            self._cut(self._left.depth)
+        self._left.closed = True
+        self._end_left()
 
     def handle_starttag(self, tag, attrs):
-        if self._skip:
-            if tag == self._skip[-1]:
-                self._skip.append(tag)
-            return
-        if tag in SKIPPED:
-            if tag in ("head", "title") and len(self._stack) > 3:
-                return
-            self._skip.append(tag)
+        if self._raw:
             return
-        if tag == "br":
-            self._text.append((" ", False))
-        if tag == "hr":
+        if tag in RAW:
+            self._raw = tag
+        elif tag in DROPPED:
+            if tag in ("option", "optgroup") and self._left and self._left.tag == "option":
+                self._close_left("option")
+            self._left = _Left(tag, len(self._stack), self._left)
+            self._all_left.append(self._left)
+            self._open[tag] += 1
+        elif tag == "br":
+            self._text.append((" ", False, None))
+        elif tag == "hr":
             self._flush()
-        if tag == "body" and self._skip:
-            self._skip.clear()
-        if tag in VOID:
-            return
-        if tag not in BLOCKS:
+        elif tag in BLOCKS:
+            self._block(tag, attrs)
+        elif tag not in VOID:
             self._inline.append(tag)
-            return
+
+    def _block(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._flush()
-        if self._stack[-1][1] == "p":
-            self._stack.pop()
-        if tag in CLOSED_BY:
-            for at in range(len(self._stack) - 1, 0, -1):
+        left = self._left
+        while left and not left.blocks:
+            left.blocks, left = True, left.outer
+        floor = self._left.depth if self._left else 1
+        if len(self._stack) > floor and self._stack[-1][1] == "p":
+            self._cut(len(self._stack) - 1)
+        if any(self._open[t] for t in CLOSED_BY.get(tag, ())):
+            for at in range(len(self._stack) - 1, floor - 1, -1):
                 if self._stack[at][1] in CLOSED_BY[tag]:
-                    del self._stack[at:]
+                    self._cut(at)
                     break
                 if self._stack[at][1] in WALLS[tag]:
                     break
@@ -122,40 +152,66 @@ class Tree(HTMLParser):
         # What is named a part around the text is not its main part, whatever else it is named.
         if len(hints) > 1 and "main" in hints:
             hints.remove("main")
-        above = {t for _, t in self._stack}
-        inside = "inner-" if tag == "header" and ("article" in above or "main" in above) else ""
+        inside = "inner-" if tag == "header" and (self._open["article"] or self._open["main"]) else ""
         kind = "h" if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() else tag
-        label = dict(attrs).get("label")
-        self._stack.append((self._add((f"tag={inside}{kind}", *(f"hint={h}" for h in hints)), None, label), tag))
+        self._nodes.append((self._stack[-1][0], (f"tag={inside}{kind}", *(f"hint={h}" for h in hints)), dict(attrs).get("label"), self._left))
+        self._stack.append((len(self._nodes) - 1, tag))
+        self._open[tag] += 1
 
     def handle_endtag(self, tag):
-        if self._skip:
-            if tag == self._skip[-1]:
-                self._skip.pop()
-            return
-        if tag not in BLOCKS:
+        if self._raw:
+            if tag == self._raw:
+                self._raw = None
+        elif tag in DROPPED:
+            self._close_left(tag)
+        elif tag not in BLOCKS:
             if tag in self._inline:
                 self._inline.remove(tag)
-            return
-        self._flush()
-        self._inline.clear()
-        for at in range(len(self._stack) - 1, 0, -1):
-            if self._stack[at][1] == tag:
-                del self._stack[at:]
-                return
-            if tag == "p" and self._stack[at][1] in ("article", "div", "section", "body", "main"):
+        else:
+            self._flush()
+            self._inline.clear()
+            if not self._open[tag]:
                 return
+            for at in range(len(self._stack) - 1, 0, -1):
+                if self._stack[at][1] == tag:
+                    self._cut(at)
+                    return
+                if tag == "p" and self._stack[at][1] in ("article", "div", "section", "body", "main"):
+                    return
 
     def handle_data(self, data):
-        if not self._skip:
-            self._text.append((data, "a" in self._inline))
+        if not self._raw and (self._left is None or self._left.blocks):
+            self._text.append((data, "a" in self._inline, self._left))
+
+    def _finish(self) -> None:
+        """Leave out what stands in closed elements; give every run of text its features."""
+        self._flush()
+        for left in self._all_left:
+            left.closed = left.closed or left.outer is not None and left.outer.closed
+        self.parents, self.features, self.runs, self.labels, number = [], [], [], [], {}
+        for at, (parent, own, label, around) in enumerate(self._nodes):
+            run = None
+            if isinstance(own, list):
+                pieces = [(t, link) for t, link, left in own if left is None or not left.closed]
+                run = " ".join("".join(t for t, _ in pieces).split())
+                linked = sum(len(t) for t, link in pieces if link) / max(1, sum(len(t) for t, _ in pieces))
+                n = run.count(" ") + 1
+                length = "short" if n < 5 else "middle" if n < 12 else "long"
+                own = (f"links={'none' if linked < 0.1 else 'some' if linked < 0.6 else 'most'}", f"length={length}")
+            if run == "" or around is not None and around.closed:
+                continue
+            number[at] = len(self.parents)
+            self.parents.append(number.get(parent, -1))
+            self.features.append(own)
+            self.runs.append(run)
+            self.labels.append(self.labels[number[parent]] if label is None else int(label))
 
     @classmethod
     def of(cls, page: str) -> "Tree":
         tree = cls()
         tree.feed(page)
         tree.close()
-        tree._flush()
+        tree._finish()
         return tree
 
 
@@ -237,7 +293,8 @@ def extracted(pages: DataFrame, model: Model | None = None, key: str = "page_id"
     """One row per input row: page_id, url, text, n_chars (code points of the text).
 
     Null or empty html and pages without content give an empty text. Null ids and urls stay null, repeated rows
-    are extracted each, an empty table gives no rows, other columns are not read. Pages are independent: no shuffle.
+    are extracted each, an empty table gives no rows, other columns are not read. Very long and deeply nested pages
+    take time in proportion to their length. Pages are independent: no shuffle.
     """
     model = model or Model()
 
