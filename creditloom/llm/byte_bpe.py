@@ -23,12 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
-from .common import id_and_text, texts
+from .common import id_and_text, slices, texts
 
 # White space beyond ASCII, which Java's \s leaves out and the tokenizer's \s has.
 _SPACES = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 BUCKETS = 65536
-_REMEMBERED = 400_000
+_REMEMBERED = 150_000
+# Pre-tokens that a task works on at once, and bytes of one file of the dictionary.
+_AT_ONCE = 200_000
+_SHARD_BYTES = 32 * 2**20
 _NONE = 2**31
 
 
@@ -170,17 +173,26 @@ def stored(encoded: DataFrame) -> list[tuple[int, int, str]]:
     folder = new_path(encoded.sparkSession, "pre-tokens")
     ranged = encoded.repartitionByRange("key", "word").sortWithinPartitions("key", "word")
 
+    def written(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        files, base = pyarrow.fs.FileSystem.from_uri(folder)
+        files.create_dir(base, recursive=True)
+        name = f"{uuid.uuid4().hex}.arrow"
+        with files.open_output_stream(f"{base}/{name}") as out, pa.ipc.new_file(out, table.schema) as writer:
+            writer.write_table(table)
+        keys = table["key"]
+        return pa.RecordBatch.from_arrays([pa.array([keys[0].as_py()]), pa.array([keys[-1].as_py()]), pa.array([name])], ["first", "last", "name"])
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
-        if table is not None:
-            table = table.combine_chunks()
-            files, base = pyarrow.fs.FileSystem.from_uri(folder)
-            files.create_dir(base, recursive=True)
-            path = f"{base}/{uuid.uuid4().hex}.arrow"
-            with files.open_output_stream(path) as out, pa.ipc.new_file(out, table.schema) as writer:
-                writer.write_table(table)
-            keys = table["key"]
-            yield pa.RecordBatch.from_arrays([pa.array([keys[0].as_py()]), pa.array([keys[-1].as_py()]), pa.array([path.rsplit("/", 1)[1]])], ["first", "last", "name"])
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.nbytes for b in held) >= _SHARD_BYTES:
+                yield written(held)
+                held = []
+        if held:
+            yield written(held)
 
     found = ranged.mapInArrow(write, "first long, last long, name string").collect()
     return sorted((r["first"], r["last"], f"{folder}/{r['name']}") for r in found)
@@ -200,8 +212,9 @@ class Dictionary:
             files, path = pyarrow.fs.FileSystem.from_uri(self._paths[n])
             local = isinstance(files, pyarrow.fs.LocalFileSystem)
             table = pa.ipc.open_file(pa.memory_map(path) if local else files.open_input_file(path)).read_all()
-            ids = table["ids"].combine_chunks()
-            self._open[n] = table["key"].to_numpy(), table["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy()
+            # One batch a file: its columns are views of the mapped file, nothing is copied.
+            ids = table["ids"].chunk(0)
+            self._open[n] = table["key"].to_numpy(), table["word"].chunk(0), ids.offsets.to_numpy(), ids.values.to_numpy()
         return self._open[n]
 
     def __call__(self, words: list[str], missing: bool = False) -> list[np.ndarray | None]:
@@ -232,37 +245,61 @@ class Dictionary:
         return out
 
 
+class Remembered:
+    """Ids of the words met so far, one after the other in ``pool``; starts anew beyond a number of words."""
+
+    def __init__(self, look_up: Dictionary):
+        self._look_up = look_up
+        self._forget()
+
+    def _forget(self) -> None:
+        self._row: dict[str, int] = {}
+        self._starts, self._used = np.zeros(1, np.int64), 0
+        self.pool = np.empty(1024, np.int32)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Start and number of each word's ids in the pool; ``words`` are distinct."""
+        if len(self._row) > _REMEMBERED:
+            self._forget()
+        new = [w for w in words if w not in self._row]
+        if new:
+            found = self._look_up(new)
+            self._row.update(zip(new, range(len(self._row), len(self._row) + len(new))))
+            ends = self._used + np.cumsum([len(ids) for ids in found])
+            if ends[-1] > len(self.pool):
+                grown = np.empty(max(int(ends[-1]), 2 * len(self.pool)), np.int32)
+                grown[: self._used] = self.pool[: self._used]
+                self.pool = grown
+            self.pool[self._used : ends[-1]] = np.concatenate(found)
+            self._starts, self._used = np.r_[self._starts, ends], int(ends[-1])
+        rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+        return self._starts[rows], self._starts[rows + 1] - self._starts[rows]
+
+
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", native: bool = False) -> DataFrame:
     """One row per input row: doc_id, ids (array of int).
 
     Null or empty text: no ids. A null id keeps its row; repeated rows are encoded each for itself; an empty table
-    gives no rows. Other columns are not read. ``native`` folds with higher-order functions; the ids are the same.
+    gives no rows. Other columns are not read. A text of any length is one row; a task holds the pre-tokens of one
+    batch, which is bounded by bytes, or of one text. ``native`` folds with higher-order functions; the ids are the same.
     """
     words = pre_tokens(id_and_text(docs, key, text), pattern)
     shards = dictionary(words, load_ranks(path), native)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look_up, known, pool, starts, sizes = Dictionary(shards), {}, [], [], []
-        for batch in batches:
-            lists = batch.column("words")
-            coded = lists.flatten().dictionary_encode()
-            names = coded.dictionary.to_pylist()
-            if len(known) > _REMEMBERED:
-                known, pool, starts, sizes = {}, [], [], []
-            new = [w for w in names if w not in known]
-            for w, ids in zip(new, look_up(new)):
-                known[w] = len(starts)
-                starts.append(starts[-1] + sizes[-1] if starts else 0)
-                sizes.append(len(ids))
-                pool.append(ids)
-            pool = [np.concatenate(pool)] if pool else [np.empty(0, np.int32)]
-            rows = np.fromiter(map(known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()] if names else np.empty(0, np.int64)
-            size = np.array(sizes, np.int64)[rows] if len(rows) else np.empty(0, np.int64)
-            ends = np.r_[0, np.cumsum(size)]
-            flat = pool[0][np.repeat(np.array(starts, np.int64)[rows] - ends[:-1], size) + np.arange(ends[-1])] if len(rows) else pool[0][:0]
-            offsets = ends[np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]]
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+        known = Remembered(Dictionary(shards))
+        for whole in batches:
+            for batch in slices(whole, whole.column("words").value_lengths().to_numpy(), _AT_ONCE):
+                lists = batch.column("words")
+                coded = lists.flatten().dictionary_encode()
+                start, size = known(coded.dictionary.to_pylist())
+                each = coded.indices.to_numpy()
+                start, size = start[each], size[each]
+                ends = np.r_[0, np.cumsum(size)]
+                flat = known.pool[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+                offsets = ends[np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]]
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
     return words.mapInArrow(run, "doc_id long, ids array<int>")
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -18,6 +18,8 @@ WORD = f"[^{SPACE}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _REMEMBERED = 1_000_000
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 * 2**20
 
 
 class WordHashes(dict):
@@ -73,8 +75,25 @@ def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
         yield tuple(found)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python tasks by bytes, unless the session does: texts may be of any length."""
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "-1", str(2**31 - 1), str(2**63 - 1)):
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+
+
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Pieces of ``batch`` whose rows' sizes sum up to ``most`` at most, or of one row."""
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, so that no other column can clash with what an operator adds."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
