@@ -32,6 +32,8 @@ CHAR_CLASSES: dict[str, str] = {
 }
 SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 5
+# The character before those that stand for the common words: 64 of them fit above it in one byte each.
+_FIRST_CODE = 32
 
 
 @dataclass(frozen=True)
@@ -110,18 +112,25 @@ def _sql(pattern: str) -> str:
 
 
 def histograms(counted: DataFrame) -> DataFrame:
-    """Adds ``chars`` (counts by class) and ``common`` (counts by common word), arrays of long."""
-    lowered = "array_join(transform(words, w -> lower(w)), '  ')"
-    found = counted.selectExpr("*", f"concat(' ', {lowered}, ' ') AS spaced")
+    """Adds ``chars`` (counts by class) and ``common`` (counts by common word), arrays of long.
+
+    The words are filtered to the common ones first, each of those becomes one character, and all counts
+    are taken from that short string.
+    """
+    known = [w for words in COMMON_WORDS.values() for w in words]
+    listed = ", ".join(f"'{w}'" for w in known)
+    found = counted.selectExpr(
+        "*",
+        f"array_join(transform(filter(transform(words, w -> lower(w)), w -> w IN ({listed})), "
+        f"w -> char({_FIRST_CODE} + array_position(array({listed}), w))), '') AS codes",
+    )
     counts = [
-        f"CAST((char_length(spaced) - char_length(replace(spaced, ' {w} ', ''))) / {len(w) + 2} AS BIGINT)"
-        for words in COMMON_WORDS.values()
-        for w in words
+        f"CAST(char_length(codes) - char_length(replace(codes, char({_FIRST_CODE + 1 + i}), '')) AS BIGINT)" for i in range(len(known))
     ]
     classes = [f"CAST(char_length(dense) - char_length(regexp_replace(dense, '{_sql(p)}+', '')) AS BIGINT)" for p in CHAR_CLASSES.values()]
     found = found.selectExpr("*", f"array({', '.join(classes)}) AS classes", f"array({', '.join(counts)}) AS common")
     rest = "char_length(dense) - aggregate(classes, 0L, (s, x) -> s + x)"
-    return found.selectExpr("* EXCEPT (spaced, classes)", f"array_append(classes, {rest}) AS chars")
+    return found.selectExpr("* EXCEPT (codes, classes)", f"array_append(classes, {rest}) AS chars")
 
 
 def _language_sums() -> list[str]:
