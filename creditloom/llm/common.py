@@ -91,6 +91,12 @@ def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.R
         start = end
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more from the shared folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, so that no other column can clash with what an operator adds."""
     bounded_batches(docs.sparkSession)
