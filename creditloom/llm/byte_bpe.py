@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -230,7 +231,14 @@ class Dictionary:
                 continue
             mine = np.flatnonzero(low == n)
             own, names, offsets, values = self._shard(n)
-            for i, at in zip(mine.tolist(), np.searchsorted(own, keys[mine]).tolist()):
+            places = np.searchsorted(own, keys[mine])
+            # Nearly all words are the first of their key.
+            inside = np.minimum(places, len(own) - 1)
+            asked = pa.array([words[i] for i in mine.tolist()], names.type)
+            same = (own[inside] == keys[mine]) & pc.equal(names.take(pa.array(inside)), asked).to_numpy(zero_copy_only=False)
+            for i, first, last in zip(mine[same].tolist(), offsets[inside[same]].tolist(), offsets[inside[same] + 1].tolist()):
+                out[i] = values[first:last]
+            for i, at in zip(mine[~same].tolist(), places[~same].tolist()):
                 shard, (own_, names_, offsets_, values_) = n, (own, names, offsets, values)
                 while own_[at] == keys[i] and names_[at].as_py() != words[i] or not missing and own_[at] != keys[i]:
                     at += 1

@@ -1,14 +1,15 @@
-"""Language-model scores from an Elias-Fano trie of words and word pairs.
-
-Training tokens are counted by Spark. A word's number is its place in the vocabulary; the pairs are cut by range into
-shards, each written by one task to the shared folder. In a shard the pairs are one rising sequence (context times
-vocabulary size plus successor, relative to the shard's first) in Elias-Fano form: low bits packed, high bits in
-unary, a directory of zeros. The high bits are the monotone pointers: a pair is found by jumping to the bucket of its high
-part and searching the successor there. Beside each pair stands its smoothed probability in 16 bits on a log
-scale. Tasks map the files into memory and look up a batch's distinct pairs shard by shard.
-
-The model is absolute discounting, interpolated: p(w | v) = max(c(vw) - D, 0) / c(v) + D * T(v) / c(v) * p(w), T(v) the
-number of successors seen after v; p(w) = (c(w) + 1) / (N + V + 1). After an unknown word and at the start: p(w).
+"""Language-model scores from an Elias-Fano trie of words, word pairs, triples and so on up to ``order``.
+
+Training tokens are counted by Spark. A word's number is its place in the vocabulary. A level below the words holds the sequences
+of one word more: each is a number of the level above (its context, pointed at) and a word. They are cut by ranges of
+contexts into shards, each written by one task to the shared folder. In a shard they are one rising sequence (context times
+vocabulary size plus word, relative to the shard's first) in Elias-Fano form: low bits packed, high bits in
+unary, a directory of zeros. The high bits are the monotone pointers: a sequence is found by jumping to the bucket of its high
+part and searching the word there; its place is its number, the context of the next level. Beside each stands its smoothed
+probability in 16 bits on a log scale, beside each context its weight. Tasks map the files into memory and look up a batch's distinct sequences shard by shard.
+
+The model is absolute discounting, interpolated: p(w | h) = max(c(hw) - D, 0) / c(h) + D * T(h) / c(h) * p(w | h without its first word),
+T(h) the number of words seen after h; p(w) = (c(w) + 1) / (N + V + 1). Where h was not seen, and at the start: the shorter history's.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
 from .byte_bpe import Dictionary, stored
-from .common import rows_of, words_of
+from .common import bounded_batches, release, rows_of, words_of
 
 #: The end of a text is a token; no word holds a line break.
 END = b"\n"
@@ -35,6 +36,12 @@ DISCOUNT = 0.75
 _STEP = 40 / 65535
 #: Tokens looked at together in a task.
 _CHUNK = 500_000
+#: Training tokens behind a shard.
+_SHARD = 3_000_000
+#: Sequences that a task adds up before it hands them on.
+_GATHERED = 4_000_000
+#: Words that a task remembers.
+_REMEMBERED = 400_000
 _SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
 
 
@@ -78,13 +85,9 @@ class EliasFano:
         zeros = np.r_[0, np.cumsum(64 - np.bitwise_count(high).astype(np.int64))][:-1]
         return cls(low, high, zeros, bits, n)
 
-    def save(self, folder: str, name: str) -> None:
-        for part in ("low", "high", "zeros"):
-            _save(folder, f"{name}-{part}", getattr(self, f"_{part}"))
-
-    @classmethod
-    def load(cls, folder: str, name: str, bits: int, n: int) -> "EliasFano":
-        return cls(*(_load(folder, f"{name}-{part}") for part in ("low", "high", "zeros")), bits, n)
+    @property
+    def parts(self) -> list[np.ndarray]:
+        return [self._low, self._high, self._zeros]
 
     @property
     def bits(self) -> int:
@@ -172,24 +175,31 @@ def _numbered(counts: DataFrame) -> DataFrame:
     return counts.select("word", "c", (place + offset).cast("long").alias("id"))
 
 
-def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", order: int = 2) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
-    Learns from the rows for which ``held_out`` (an expression over ``doc_id``) is not true. Null or empty text is the end
-    token alone. A null id keeps its row; repeated rows count and are scored each; an empty table gives no rows;
+    Learns from the rows for which ``held_out`` (an expression over ``doc_id``) is not true, sequences of up to ``order`` tokens. Null or
+    empty text is the end token alone. A null id keeps its row; repeated rows count and are scored each; an empty table gives no rows;
     without training rows every token is unknown. Other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = rows.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
+    def counted(own: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(list(own.values()), pa.int64())], ["word", "c"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: Counter = Counter()
         for (found,) in rows_of(batches, "text"):
-            own: Counter = Counter()
             for t in found:
                 own.update(words_of(t))
             own[END] += len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(list(own.values()), pa.int64())], ["word", "c"])
+            if len(own) > _REMEMBERED:
+                yield counted(own)
+                own = Counter()
+        yield counted(own)
 
     counts = rows.where(~F.col("held_out")).select("text").mapInArrow(count, "word string, c long")
     vocabulary = materialize(_numbered(counts.groupBy("word").agg(F.sum("c").alias("c"))), "words")
@@ -200,36 +210,39 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look_up, known = Dictionary(shards), {}
+        # Number and count of the known words, in the order of ``known``.
+        table = np.empty((0, 2), np.int64)
         for keys, outs, found in rows_of(batches, "doc_id", "held_out", "text"):
             lists = [[*words_of(t), END] for t in found]
-            if len(known) > 1_000_000:
-                known = {}
+            if len(known) > _REMEMBERED:
+                known, table = {}, table[:0]
             new = list({w for words in lists for w in words if w not in known})
-            known.update(zip(new, ((int(e[0]), (int(e[1]) << 31) + int(e[2])) if e is not None else (-1, 0) for e in look_up([w.decode() for w in new], missing=True))))
-            numbers, sure, base = [], [], []
-            for words in lists:
-                own = [known[w] for w in words]
-                c = np.fromiter((e[1] for e in own), np.float64, len(own))
-                numbers.append(np.fromiter((e[0] for e in own), np.int32, len(own)))
-                sure.append(int((c > 0).sum()))
-                base.append(float(np.log10((c + 1) / floor).sum()))
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            entries = [(-1, 0) if e is None else (e[0], (int(e[1]) << 31) + int(e[2])) for e in look_up([w.decode() for w in new], missing=True)]
+            table = np.concatenate((table, np.array(entries, np.int64).reshape(-1, 2)))
+            ends = np.cumsum([0, *map(len, lists)])
+            at = np.fromiter((known[w] for words in lists for w in words), np.int64, ends[-1])
+            c, starts = table[at, 1], ends[:-1]
+            numbers = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(table[at, 0].astype(np.int32)))
+            sure, base = (np.add.reduceat(x, starts) if len(starts) else x for x in ((c > 0).astype(np.int64), np.log10((c + 1) / floor)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(outs, pa.bool_()), pa.array(numbers, pa.list_(pa.int32())), pa.array(sure, pa.int64()), pa.array(base, pa.float64())],
+                [pa.array(keys, pa.int64()), pa.array(outs, pa.bool_()), numbers, pa.array(sure), pa.array(base)],
                 ["doc_id", "held_out", "ids", "n_known", "base_score"],
             )
 
     coded = materialize(rows.mapInArrow(number, "doc_id long, held_out boolean, ids array<int>, n_known long, base_score double"), "numbered")
+    levels: list[Level] = []
     if size:
         words = _by_number(vocabulary.select("id", F.col("c").cast("double")), "word-counts")
-        pairs, after = _pairs(coded, words, size)
-        weights = vocabulary.join(after, "id", "left").select("id", (DISCOUNT * F.coalesce("t", F.lit(0)) / F.col("c")).alias("w"))
-        weights = _by_number(weights, "context-weights")
+        for _ in range(order - 1):
+            release(spark)
+            levels.append(_level(coded, levels, size, total))
+        release(spark)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(words, weights, pairs, size, floor) if size else None
+        model = Model(words, levels, floor) if size else None
         for batch in batches:
-            lists = batch.column("ids")
-            flat, ends = lists.flatten().to_numpy().astype(np.int64), np.r_[0, np.cumsum(lists.value_lengths().to_numpy().astype(np.int64))]
+            flat, ends = _tokens(batch)
             logs = model(flat, ends[:-1]) if model else np.full(len(flat), math.log10(1 / floor))
             sums = np.add.reduceat(logs, ends[:-1]) if len(flat) else np.empty(0)
             n = len(sums)
@@ -241,88 +254,154 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
     return coded.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _pairs(coded: DataFrame, words: tuple, size: int) -> tuple[tuple, DataFrame]:
-    """Write the shards of pairs; returns where they are and (id, t), the number of successors of each word."""
-    folder = new_path(coded.sparkSession, "pairs")
+def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The word numbers of a batch one after the other, and where its texts end."""
+    lists = batch.column("ids")
+    return lists.flatten().to_numpy().astype(np.int64), np.r_[0, np.cumsum(lists.value_lengths().to_numpy().astype(np.int64))]
+
+
+class Level:
+    """Sequences of one length: for a context (a number of the level above) and a word, their number, share and the context's weight."""
+
+    _TYPES = (np.uint8, np.uint64, np.int64, np.uint16, np.float32)
+
+    def __init__(self, folder: str, shards: list[tuple], size: int):
+        self._folder, self._shards, self._size = folder, sorted(shards), size
+        self._starts = np.cumsum([0, *(s[3] for s in self._shards)])
+        self._contexts = np.array([s[0] // size for s in self._shards], np.int64)
+
+    @property
+    def count(self) -> int:
+        return int(self._starts[-1])
+
+    @classmethod
+    def written(cls, folder: str, values: np.ndarray, c: np.ndarray, size: int) -> tuple:
+        """Write a shard: all sequences, rising, of some consecutive contexts, and their counts."""
+        contexts = values // size
+        new = np.flatnonzero(np.r_[True, contexts[1:] != contexts[:-1]])
+        # Every token of a context but the end, which is none, has a successor.
+        sums, t = np.add.reduceat(c, new), np.diff(np.r_[new, len(values)])
+        share = (c - DISCOUNT) / np.repeat(sums, t)
+        weights = np.zeros(contexts[-1] - contexts[0] + 1, np.float32)
+        weights[contexts[new] - contexts[0]] = DISCOUNT * t / sums
+        coder = EliasFano.of(values - values[0])
+        parts = [*coder.parts, np.minimum(65535, np.round(-np.log(share) / _STEP)).astype(np.uint16), weights]
+        name, raw = uuid.uuid4().hex, [p.tobytes() for p in parts]
+        _save(folder, name, np.frombuffer(b"".join(r + bytes(-len(r) % 8) for r in raw), np.uint8))
+        return int(values[0]), int(values[-1]), coder.bits, len(values), [len(p) for p in parts], name
+
+    def _open(self, n: int) -> tuple[EliasFano, np.ndarray, np.ndarray]:
+        _, _, bits, length, sizes, name = self._shards[n]
+        data, at, parts = _load(self._folder, name), 0, []
+        for kind, items in zip(self._TYPES, sizes):
+            end = at + items * np.dtype(kind).itemsize
+            parts.append(data[at:end].view(kind))
+            at = end + -end % 8
+        return EliasFano(*parts[:3], bits, length), parts[3], parts[4]
+
+    def __call__(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number (-1), discounted share and weight (0 where there is none) for each context and word (-1: unknown)."""
+        each, back = np.unique(contexts * (self._size + 1) + words + 1, return_inverse=True)
+        contexts, words = each // (self._size + 1), each % (self._size + 1) - 1
+        numbers, shares, weights = np.full(len(each), -1), np.zeros(len(each)), np.zeros(len(each))
+        bounds = np.r_[np.searchsorted(contexts, self._contexts), len(each)]
+        for n in np.flatnonzero(np.diff(bounds)).tolist():
+            mine = slice(bounds[n], bounds[n + 1])
+            first, last = self._shards[n][:2]
+            coder, codes, own = self._open(n)
+            place = contexts[mine] - first // self._size
+            weights[mine] = np.where(place < len(own), own[np.minimum(place, len(own) - 1)], 0)
+            values = contexts[mine] * self._size + words[mine]
+            asked = np.flatnonzero((words[mine] >= 0) & (values >= first) & (values <= last))
+            at = coder.find(values[asked] - first)
+            asked, at = asked[at >= 0] + bounds[n], at[at >= 0]
+            numbers[asked] = at + self._starts[n]
+            shares[asked] = np.exp(-_STEP * codes[at].astype(np.float64))
+        return numbers[back], shares[back], weights[back]
+
+
+def _walk(flat: np.ndarray, starts: np.ndarray, levels: list[Level]) -> Iterator[tuple]:
+    """Piece by piece: its place, its words, what each level says (tokens asked for, shares, weights), and the contexts of a further level."""
+    begins = np.zeros(len(flat), bool)
+    begins[starts] = True
+    before = [-1] * (len(levels) + 1)
+    for at in range(0, len(flat), _CHUNK):
+        words, first = flat[at : at + _CHUNK], begins[at : at + _CHUNK]
+        numbers, said = words, []
+        for k in range(len(levels) + 1):
+            contexts = np.r_[before[k], numbers[:-1]]
+            before[k] = numbers[-1]
+            contexts[first] = -1
+            if k < len(levels):
+                asked = np.flatnonzero(contexts >= 0)
+                found, shares, weights = levels[k](contexts[asked], words[asked])
+                numbers = np.full(len(words), -1)
+                numbers[asked] = found
+                said.append((asked, shares, weights))
+        yield at, words, contexts, said
+
+
+def _level(coded: DataFrame, above: list[Level], size: int, total: int) -> Level:
+    """Count and write the sequences that are one token longer than those of the last level."""
+    folder = new_path(coded.sparkSession, "trie")
+    shards = -(-total // _SHARD)
+    width = -(-(above[-1].count if above else size) // shards)
+
+    def counted(grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, c = np.unique(np.concatenate(grams), return_counts=True)
+        for at in range(0, len(found), _CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array(found[at : at + _CHUNK]), pa.array(c[at : at + _CHUNK].astype(np.int64))], ["gram", "c"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, n = [], 0
         for batch in batches:
-            lists = batch.column("ids")
-            flat, lengths = lists.flatten().to_numpy().astype(np.int64), lists.value_lengths().to_numpy()
-            inner = np.ones(len(flat), bool)
-            inner[np.cumsum(lengths) - 1] = False
-            at = np.flatnonzero(inner)
-            found, c = np.unique(flat[at] * size + flat[at + 1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(c.astype(np.int64))], ["pair", "c"])
-
-    # Partial counts of a pair fall into one range; the task that writes it adds them up.
-    partial = coded.where(~F.col("held_out")).select("ids").mapInArrow(count, "pair long, c long")
-    ranged = partial.repartitionByRange("pair").sortWithinPartitions("pair")
+            flat, ends = _tokens(batch)
+            for _, words, contexts, _ in _walk(flat, ends[:-1], above):
+                inner = contexts >= 0
+                grams.append(contexts[inner] * size + words[inner])
+                n += len(grams[-1])
+                if n >= _GATHERED:
+                    yield from counted(grams)
+                    grams, n = [], 0
+        if grams:
+            yield from counted(grams)
+
+    # A context's partial counts, from all tasks, go to the one task that adds them up and writes them.
+    partial = coded.where(~F.col("held_out")).select("ids").mapInArrow(count, "gram long, c long")
+    ranged = partial.repartitionById(shards, F.expr(f"int(gram div {size}L div {width}L)")).sortWithinPartitions("gram")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-        if not kept:
-            return
-        every, c = np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept])
-        starts = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-        values, c = every[starts], np.add.reduceat(c, starts)
-        contexts = values // size
-        share = (c - DISCOUNT) / ByNumber(*words)(contexts)
-        name, coder = uuid.uuid4().hex, EliasFano.of(values - values[0])
-        coder.save(folder, name)
-        _save(folder, f"{name}-p", np.minimum(65535, np.round(-np.log(share) / _STEP)).astype(np.uint16))
-        own, t = np.unique(contexts, return_counts=True)
-        n = len(own)
-        about = [values[0], values[-1], coder.bits, len(values)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(own), pa.array(t.astype(np.int64)), pa.array([name] * n), pa.array([about] * n, pa.list_(pa.int64()))], ["id", "t", "name", "about"]
-        )
-
-    written = materialize(ranged.mapInArrow(write, "id long, t long, name string, about array<long>"), "successors")
-    shards = sorted((*r["about"], r["name"]) for r in written.select("name", "about").distinct().collect())
-    return (folder, shards), written.groupBy("id").agg(F.sum("t").alias("t"))
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            gram, c = batch.column("gram").to_numpy(), batch.column("c").to_numpy()
+            if len(gram):
+                if kept:  # The last one may go on here.
+                    last, kept[-1] = kept[-1], (kept[-1][0][:-1], kept[-1][1][:-1])
+                    gram, c = np.r_[last[0][-1], gram], np.r_[last[1][-1], c]
+                new = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+                kept.append((gram[new], np.add.reduceat(c, new)))
+        if kept:
+            shard = Level.written(folder, *map(np.concatenate, zip(*kept)), size)
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in shard], ["first", "last", "bits", "n", "sizes", "name"])
+
+    found = ranged.mapInArrow(write, "first long, last long, bits long, n long, sizes array<long>, name string").collect()
+    return Level(folder, [(r["first"], r["last"], r["bits"], r["n"], tuple(r["sizes"]), r["name"]) for r in found], size)
 
 
 class Model:
     """Looks up log10 probabilities of tokens, the mapped files shared by all tasks of a machine."""
 
-    def __init__(self, words: tuple, weights: tuple, pairs: tuple, size: int, floor: int):
-        self._counts, self._weights, self._size, self._floor = ByNumber(*words), ByNumber(*weights), size, floor
-        self._folder, self._shards = pairs
-        self._firsts, self._lasts = (np.array([s[i] for s in self._shards], np.int64) for i in (0, 1))
-
-    def shares(self, pairs: np.ndarray) -> np.ndarray:
-        """The discounted share of each pair, 0 if it was not seen."""
-        out = np.zeros(len(pairs))
-        shard = np.searchsorted(self._firsts, pairs, "right") - 1
-        order = np.argsort(shard, kind="stable")
-        bounds = np.searchsorted(shard[order], np.arange(len(self._shards) + 1))
-        for n in range(len(self._shards)):
-            mine = order[bounds[n] : bounds[n + 1]]
-            mine = mine[pairs[mine] <= self._lasts[n]]
-            if len(mine):
-                first, _, bits, length, name = self._shards[n]
-                at = EliasFano.load(self._folder, name, bits, length).find(pairs[mine] - first)
-                codes = _load(self._folder, f"{name}-p")
-                out[mine[at >= 0]] = np.exp(-_STEP * codes[at[at >= 0]].astype(np.float64))
-        return out
+    def __init__(self, words: tuple, levels: list[Level], floor: int):
+        self._counts, self._levels, self._floor = ByNumber(*words), levels, floor
 
     def __call__(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        logs, begins = np.empty(len(flat)), np.zeros(len(flat), bool)
-        begins[starts] = True
-        for at in range(0, len(flat), _CHUNK):
-            w = flat[at : at + _CHUNK]
-            v = np.r_[flat[at - 1] if at else -1, w[:-1]]
-            v = np.where(begins[at : at + _CHUNK], -1, v)
-            c = np.zeros(len(w))
-            c[w >= 0] = self._counts(w[w >= 0])
+        logs = np.empty(len(flat))
+        for at, words, _, said in _walk(flat, starts, self._levels):
+            c = np.zeros(len(words))
+            c[words >= 0] = self._counts(words[words >= 0])
             p = (c + 1) / self._floor
-            after = np.flatnonzero(v >= 0)
-            # A context without successors (it cannot be one in training) leaves the word's own probability.
-            weight = self._weights(v[after])
-            p[after] *= np.where(weight > 0, weight, 1.0)
-            both = after[w[after] >= 0]
-            pairs, back = np.unique(v[both] * self._size + w[both], return_inverse=True)
-            p[both] += self.shares(pairs)[back]
-            logs[at : at + _CHUNK] = np.log10(p)
+            for asked, shares, weights in said:
+                # A context without successors (it cannot be one in training) leaves the shorter history's probability.
+                p[asked] = shares + np.where(weights > 0, weights, 1.0) * p[asked]
+            logs[at : at + len(words)] = np.log10(p)
         return logs

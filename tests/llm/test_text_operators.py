@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import math
 import random
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -133,6 +135,30 @@ def test_scores_are_those_of_plain_counting(docs):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, abs=2e-4 * n)
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_scores_of_longer_histories_are_those_of_plain_counting(docs, order, monkeypatch):
+    monkeypatch.setattr(language_model, "_SHARD", 300)
+    monkeypatch.setattr(language_model, "_CHUNK", 77)
+    tokens = {i: [*((t or "").lower().encode().split()), b"\n"] for i, t in _texts().items()}
+    train = [own for i, own in tokens.items() if i % 3]
+    c = Counter(tuple(own[i : i + n]) for own in train for n in range(1, order + 1) for i in range(len(own) - n + 1))
+    after = Counter(g[:-1] for g in c)
+    total, size = sum(map(len, train)), after[()]
+
+    def p(history, w):
+        if not history:
+            return (c[w,] + 1) / (total + size + 1)
+        lower = p(history[1:], w)
+        return max(c[*history, w] - 0.75, 0) / c[history] + 0.75 * after[history] / c[history] * lower if history in after else lower
+
+    found = language_model.scored(docs, F.col("doc_id") % 3 == 0, order=order).collect()
+    assert len(found) == len(tokens)
+    for r in found:
+        own = tokens[r.doc_id]
+        wanted = sum(math.log10(p(tuple(own[max(0, i - order + 1) : i]), w)) for i, w in enumerate(own))
+        assert r.score == pytest.approx(wanted, abs=2e-4 * len(own))
+
+
 def test_a_model_without_training_rows(docs):
     found = language_model.scored(docs, F.lit(True)).collect()
     assert len(found) == len(_texts()) and all(r.n_known == 0 and r.train_tokens == 0 and r.score == 0 for r in found)
