@@ -77,3 +77,18 @@ def test_out_of_fold_scores_are_those_of_separate_fits(table):
             own = models.fit_model(spec, table.where(f"fold <> {g}").drop("fold"), "y", "id")
             for r in own.score(table.where(f"fold = {g}"), ["id"]).collect():
                 assert score[spec.name, r.id] == pytest.approx(r.SCORE, abs=1e-6)
+
+
+def test_medians_of_many_columns_share_rows_in_their_passes(spark):
+    rows = [tuple([i % 4, *[None if (i + c) % 11 == 0 else float("nan") if (i * c) % 17 == 5 else float((i * 37 + c * c) % 1009) for c in range(23)]]) for i in range(3_000)]
+    columns = [f"c{c}" for c in range(23)]
+    df = spark.createDataFrame(rows, "fold int, " + ", ".join(f"{c} double" for c in columns)).repartition(3)
+    brackets = [[quantiles._Search(c, 0)] for c in columns]
+    steps = quantiles._steps(df, brackets)
+    for c, found in enumerate(steps):
+        values = [r[c + 1] for r in rows if r[c + 1] is not None and r[c + 1] == r[c + 1]]
+        assert (found[0], found[-1], len(found)) == (min(values), max(values), quantiles.SKETCH_STEPS + 1)
+    found = quantiles.leave_one_out_medians(df, columns, "fold", range(4), 20)
+    for g in range(4):
+        own = [[r[c + 1] for r in rows if r[0] != g and r[c + 1] is not None and r[c + 1] == r[c + 1]] for c in range(23)]
+        assert [found[g][c] for c in columns] == [statistics.median(v) for v in own]
