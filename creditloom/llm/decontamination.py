@@ -29,6 +29,8 @@ COMMON = 0.05
 LEAST_INFORMATIVE = 4
 _LOWERED = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _TEXTS_AT_ONCE = 200
+#: So many of the most frequent words are counted in pairs (a task holds a table of all pairs), and words until these counts are summed up.
+_PAIRED, _COUNTED = 4096, 2**26
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -85,13 +87,12 @@ def _block_sums(block: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 
 
 def _partial(docs: DataFrame, run, n: int) -> np.ndarray:
-    """Sum over all tasks of an array of ``n`` doubles that each task computes, added up by position."""
+    """Sum over all tasks of an array of ``n`` doubles that ``run`` computes from a task's texts, added up by position."""
     width = 4096
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n)
-        for _, found in rows_of(batches, "doc_id", "text"):
-            run(found, total)
+        run((part for (found,) in rows_of(batches, "text") for _, part in _chunks(found)), total)
         parts = [total[i : i + width] for i in range(0, n, width)]
         used = [i for i, p in enumerate(parts) if p.any()]
         yield pa.RecordBatch.from_arrays(
@@ -115,8 +116,8 @@ def informative_words(docs: DataFrame, items: Items) -> dict[bytes, float]:
     names, size = list(items.vocabulary), len(items.vocabulary)
     vocabulary = items.vocabulary
 
-    def count(found: list, total: np.ndarray) -> None:
-        for _, part in _chunks(found):
+    def count(parts: Iterator[list], total: np.ndarray) -> None:
+        for part in parts:
             word, block, starts = blocks(part, vocabulary)
             total[:size] += np.bincount(np.unique(block * size + word) % size, minlength=size)
             total[size] += starts[-1] - len(part)
@@ -127,19 +128,61 @@ def informative_words(docs: DataFrame, items: Items) -> dict[bytes, float]:
     return {w: float(np.log((1 + passages) / (1 + c))) for w, c in zip(names, counts) if c <= max(COMMON * passages, 20)}
 
 
-def latent_basis(docs: DataFrame, weights: dict[bytes, float], rank: int = RANK, seed: int = 5) -> np.ndarray:
+class _Pairs:
+    """How often two of ``n`` words stand in one block."""
+
+    def __init__(self, n: int):
+        self._later, self._own, self.words = np.zeros((n, n), np.int32), np.zeros(n, np.int64), 0
+
+    def add(self, word: np.ndarray, block: np.ndarray) -> None:
+        """Words of ascending blocks."""
+        n, flat = len(self._own), self._later.reshape(-1)
+        self.words += len(word)
+        self._own += np.bincount(word, minlength=n)
+        for apart in range(1, len(word)):
+            same = np.flatnonzero(block[apart:] == block[:-apart])
+            if not len(same):
+                break
+            np.add.at(flat, word[same] * n + word[same + apart], 1)
+
+    def times(self, rows: np.ndarray) -> np.ndarray:
+        """The table of all pairs, those of a word with itself too, times ``rows``. The counts begin anew."""
+        out = self._own[:, None] * rows
+        for at in range(0, len(out), 256):
+            part = slice(at, at + 256)
+            out[part] += (self._later[part] + self._later[:, part].T).astype(np.float64) @ rows
+        self.__init__(len(out))
+        return out
+
+
+def latent_basis(docs: DataFrame, weights: dict[bytes, float], rank: int = RANK, seed: int = 5, paired: int = _PAIRED) -> np.ndarray:
     """An orthonormal basis near the leading right singular vectors: one pass sums Y = A'(A W) for a random W.
 
-    Only an array of the size of the benchmark's vocabulary comes back.
+    A block of words that are all among the ``paired`` most frequent ones is counted in pairs, A'A, which W meets once in a task; the
+    rows of W are added up only for the others. Only an array of the size of the benchmark's vocabulary comes back.
     """
     size, rank = len(weights), min(rank, len(weights))
     vocabulary, idf = {w: i for i, w in enumerate(weights)}, np.array(list(weights.values()))
     start = np.random.default_rng(seed).standard_normal((size, rank)) * idf[:, None]
+    chosen = np.sort(np.argsort(idf, kind="stable")[:paired])
+    places = np.full(size, -1)
+    places[chosen] = np.arange(len(chosen))
 
-    def sketch(found: list, total: np.ndarray) -> None:
-        gram = total.reshape(size, rank)
-        for _, part in _chunks(found):
+    def sketch(parts: Iterator[list], total: np.ndarray) -> None:
+        gram, pairs = total.reshape(size, rank), _Pairs(len(chosen))
+
+        def summed() -> None:
+            gram[chosen] += idf[chosen][:, None] * pairs.times(start[chosen])
+
+        for part in parts:
             word, block, starts = blocks(part, vocabulary)
+            other = np.zeros(starts[-1], bool)
+            other[block[places[word] < 0]] = True
+            rare = other[block]
+            pairs.add(places[word[~rare]], block[~rare])
+            if pairs.words > _COUNTED:
+                summed()
+            word, block = word[rare], block[rare]
             if len(word):
                 sums = _block_sums(block, start[word], starts[-1])
                 order = np.argsort(word, kind="stable")
@@ -147,6 +190,8 @@ def latent_basis(docs: DataFrame, weights: dict[bytes, float], rank: int = RANK,
                 rows = np.add.reduceat(sums[block[order]], edges, axis=0)
                 own = word[order][edges]
                 gram[own] += idf[own][:, None] * rows
+        if pairs.words:
+            summed()
 
     return np.linalg.qr(_partial(docs, sketch, size * rank).reshape(size, rank))[0]
 
@@ -164,6 +209,36 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
+class _Overlap:
+    """Which passages can hold enough of an item's telling words, in the passage widened by the item's length."""
+
+    def __init__(self, telling: list[list[int]], lengths: list[int], needed: np.ndarray, size: int):
+        own = [np.unique(np.array(t, np.int64)) for t in telling]
+        word = np.concatenate([*own, np.empty(0, np.int64)])
+        order = np.argsort(word, kind="stable")
+        self._items = np.repeat(np.arange(len(own)), np.array([len(o) for o in own], np.int64))[order]
+        self._ends = np.r_[0, np.cumsum(np.bincount(word, minlength=size))]
+        self._reach, self._needed = -(-np.array(lengths, np.int64) // STRIDE), needed
+
+    def __call__(self, word: np.ndarray, block: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, item), ascending: every passage of the ``n`` blocks whose surroundings hold so many words of the item."""
+        many = self._ends[word + 1] - self._ends[word]
+        ends = np.cumsum(many)
+        at = np.arange(many.sum()) + np.repeat(self._ends[word] - ends + many, many)
+        # Item by item, the blocks with a word of it; windows begin at one of these.
+        places, c = np.unique(self._items[at] * (n + 1) + np.repeat(block, many), return_counts=True)
+        item, sums = places // (n + 1), np.r_[0, np.cumsum(c)]
+        last = np.minimum(places % (n + 1) + 2 * self._reach[item] + 2, n + 1)
+        enough = np.flatnonzero(sums[places.searchsorted(item * (n + 1) + last)] - sums[:-1] >= self._needed[item])
+        item, first = item[enough], places[enough] % (n + 1) - 1 - self._reach[item[enough]]
+        wide = 2 * self._reach[item] + 2
+        ends = np.cumsum(wide)
+        passage = np.arange(wide.sum()) + np.repeat(first - ends + wide, wide)
+        inside = (passage >= 0) & (passage < n)
+        found = np.unique(passage[inside] * len(self._reach) + np.repeat(item, wide)[inside])
+        return found // max(1, len(self._reach)), found % max(1, len(self._reach))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -176,8 +251,8 @@ def contaminated(
     """(doc_id, item_id, subsequence, answer, cosine): items that a document repeats or paraphrases.
 
     Passages are pairs of neighbouring blocks of 32 words. Words in more than 5 % of all passages do not count as
-    informative. Passages with less than ``paraphrase`` of an item's number of informative words cannot pass
-    the check and are no candidates. A candidate passes if its longest common subsequence with the item, in the passage
+    informative. Passages with less than ``paraphrase`` of an item's number of informative words, or with less of these words themselves in the
+    passage widened by the item's length, cannot pass the check and are no candidates. A candidate passes if its longest common subsequence with the item, in the passage
     widened by the item's length, has ``paraphrase`` of the informative words and either ``share`` of all words or
     ``paraphrase`` of them and 0.8 of the answer, the item's last sentence. Items with fewer than four
     informative words have no direction; only all their words in a row count.
@@ -207,6 +282,7 @@ def contaminated(
     needed = paraphrase * np.array([len(telling[i]) for i in keep] or [np.inf])
     projected = (basis * idf[:, None]).astype(np.float32)
     words, answers, ids = items.words, items.answers, items.ids
+    overlap = _Overlap([[vocabulary[w] for w in telling[i]] for i in keep], [len(words[i]) for i in keep], needed, len(weights))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs_, found in rows_of(batches, "doc_id", "text"):
@@ -214,23 +290,25 @@ def contaminated(
             for first, part in _chunks(found):
                 word, block, starts = blocks(part, vocabulary)
                 hits = np.bincount(block, minlength=starts[-1] + 1)
-                wide = hits[:-1] + hits[1:]
-                passages = np.flatnonzero(wide >= needed.min())
-                if len(passages):
-                    sums = _block_sums(block, projected[word], starts[-1] + 1)
-                    vectors = sums[passages] + sums[passages + 1]
-                    close = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9) @ latent.T
-                    where, which = np.nonzero((close >= cosine) & (wide[passages][:, None] >= needed[None, :]))
-                else:
-                    where = which = np.empty(0, int)
+                where, which = overlap(word, block, starts[-1])
+                fits = hits[where] + hits[where + 1] >= needed[which]
+                where, which = where[fits], which[fits]
+                used = np.zeros(starts[-1] + 1, bool)
+                used[where] = used[where + 1] = True
+                own = used[block]
+                sums = _block_sums(block[own], projected[word[own]], starts[-1] + 1)
+                vectors = sums[where] + sums[where + 1]
+                close = np.einsum("ij,ij->i", vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9), latent[which])
+                near = np.flatnonzero(close >= cosine)
+                where, which, close = where[near], which[near], close[near]
                 last, all_words = -1, []
-                for p, q in zip(where.tolist(), which.tolist()):
-                    n = int(np.searchsorted(starts, passages[p], "right")) - 1
+                for p, q, near_by in zip(where.tolist(), which.tolist(), close.tolist()):
+                    n = int(np.searchsorted(starts, p, "right")) - 1
                     if docs_[first + n] is None:
                         continue
                     if n != last:
                         last, all_words = n, tokens(part[n])
-                    i, at = keep[q], int(passages[p] - starts[n]) * STRIDE
+                    i, at = keep[q], (p - int(starts[n])) * STRIDE
                     around = all_words[max(0, at - len(words[i])) : at + 2 * STRIDE + len(words[i])]
                     if common_subsequence(telling[i], [w for w in around if w in vocabulary]) < needed[q]:
                         continue
@@ -238,7 +316,7 @@ def contaminated(
                     answer = common_subsequence(answers[i], around) / len(answers[i])
                     if got >= share or got >= paraphrase and answer >= 0.8:
                         at = (docs_[first + n], i)
-                        best[at] = max(best.get(at, (0.0,)), (got, answer, float(close[p, q])))
+                        best[at] = max(best.get(at, (0.0,)), (got, answer, near_by))
                 if plain:
                     for n, text_ in enumerate(part):
                         spaced = b" " + b" ".join(tokens(text_)) + b" "
