@@ -30,13 +30,13 @@ from pyspark.sql.window import Window
 
 from ..session import materialize
 from . import perfect_hash
-from .common import mixed, texts
+from .common import bounded_batches, mixed, texts
 
 LONGEST = 4
 NO_LANGUAGE = "und"
 #: One document in so many is in the sample.
 SAMPLE = 8
-_CHUNK_BYTES = 8_000_000
+_CHUNK_BYTES = 4_000_000
 #: Text whose phrases one range of hashes holds; about as many distinct ones as a fifth of it has bytes.
 _RANGE_BYTES = 16_000_000
 
@@ -205,13 +205,13 @@ def _added(table: pa.Table, least: int) -> pa.Table:
     table = table.combine_chunks()
     sizes, known = table["size"].to_numpy(), table["known"].to_numpy(zero_copy_only=False)
     kinds = {"key": pa.int64(), "size": pa.int32(), "known": pa.bool_(), "lang": pa.string(), "phrase": pa.string(), "n": pa.int64()}
-    out: dict[str, list] = {name: [] for name in kinds}
+    schema = pa.schema(list(kinds.items()))
+    out: list[pa.Table] = []
 
     def add(keys, size, flag, lang, n, phrases=None):
         many = len(keys)
-        columns = keys, [size] * many, [flag] * many, [lang] * many, phrases or [None] * many, n
-        for name, value in zip(kinds, columns):
-            out[name] += value
+        columns = keys, np.full(many, size, np.int32), np.full(many, flag), pa.repeat(pa.scalar(lang, pa.string()), many), phrases or pa.nulls(many, pa.string()), n
+        out.append(pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds.values())], schema))
 
     totals: dict[str, int] = {}
     for at in np.flatnonzero(sizes == 0).tolist():
@@ -230,17 +230,18 @@ def _added(table: pa.Table, least: int) -> pa.Table:
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             n = np.add.reduceat(n, starts)
             kept = n >= least
-            add(keys[starts][kept].view(np.int64).tolist(), size, flag, None, n[kept].tolist())
-    spelled: dict[int, tuple[str, bytes]] = {}
-    counted = set(out["key"])
+            add(keys[starts][kept].view(np.int64), size, flag, None, n[kept])
+    counted = np.sort(np.r_[pa.concat_tables([schema.empty_table(), *out])["key"].to_numpy(), np.iinfo(np.int64).max])
+    spelled: dict[str, dict[int, str]] = {}
     for at in np.flatnonzero(sizes < 0).tolist():
-        lang = table["lang"][at].as_py()
-        for key, name in zip(np.frombuffer(table["keys"][at].as_py(), np.int64).tolist(), table["n"][at].as_py().split(b"\n")):
-            if known[at] or key in counted:
-                spelled[key] = lang, name
-    for key, (lang, name) in spelled.items():
-        add([key], -1, True, lang, [0], [name.decode()])
-    return pa.table({name: pa.array(out[name], kind) for name, kind in kinds.items()})
+        keys = np.frombuffer(table["keys"][at].as_py(), np.int64)
+        wanted = np.flatnonzero(known[at] | (counted[counted.searchsorted(keys)] == keys))
+        if len(wanted):
+            names = table["n"][at].as_py().split(b"\n")
+            spelled.setdefault(table["lang"][at].as_py(), {}).update((int(keys[i]), names[i].decode()) for i in wanted.tolist())
+    for lang, names in spelled.items():
+        add(list(names), -1, True, lang, np.zeros(len(names), np.int64), list(names.values()))
+    return pa.concat_tables([schema.empty_table(), *out])
 
 
 def _counted(docs: DataFrame, run, least: int) -> DataFrame:
@@ -456,6 +457,7 @@ def collocations(
     have a null id, all count. Other columns are not read. A text of any length is taken a few megabytes at a time, cut
     where a piece ends; a single piece is held whole.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(
         F.col(f"`{key}`").cast("string").alias("doc_id"),
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),

@@ -3,12 +3,15 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from creditloom.llm import collocations, lexical_search, line_dedup, perfect_hash
+from creditloom.llm.common import BATCH_BYTES
 
 SCHEMA = "doc_id long, text string, lang string, n long, `key` string, item array<int>, score double, `rank` int"
 
@@ -153,3 +156,21 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     parts = list(collocations._slices(text))
     assert len(parts) > 8 and all(p.split(b"\xff")[0].split() == b"one two three".split() for p in parts)
     assert sum(p.count(b"one two three") for p in parts) == 40
+
+
+def test_phrases_are_counted_in_bounded_memory(spark, docs):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    collocations.collocations(docs, least=3)
+    assert int(spark.conf.get(name)) == BATCH_BYTES
+
+    keys = np.arange(1, 300_001, dtype=np.uint64)
+    rows = {"range": [0] * 2, "size": [2, -4], "known": [True, False], "lang": [None, "en"]}
+    rows |= {"keys": [keys.tobytes(), keys[:2].tobytes()], "n": [np.full(len(keys), 30, np.int64).tobytes(), b"a b c d\ne f g h"]}
+    table = pa.table(rows, pa.schema([("range", pa.int32()), ("size", pa.int32()), ("known", pa.bool_()), ("lang", pa.string()), ("keys", pa.binary()), ("n", pa.binary())]))
+    tracemalloc.start()
+    found = collocations._added(table, 30)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 300_002 and found["phrase"].drop_null().to_pylist() == ["a b c d", "e f g h"]
+    assert peak < 16 * 300_000 * 6  # a few copies of what came in, no Python object per phrase
