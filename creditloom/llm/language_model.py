@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, new_path
 from .byte_bpe import Dictionary, stored
-from .common import bounded_batches, release, rows_of, words_of
+from .common import bounded_batches, discard, release, rows_of, words_of
 
 #: The end of a text is a token; no word holds a line break.
 END = b"\n"
@@ -161,9 +161,16 @@ def _by_number(rows: DataFrame, label: str) -> tuple[str, list[tuple[int, str]]]
     return folder, sorted((r["first"], r["name"]) for r in found)
 
 
-def _numbered(counts: DataFrame) -> DataFrame:
-    """Adds dense numbers ``id`` from 0, in the order of partitions; only the partitions' sizes are gathered."""
-    counts = materialize(counts.withColumn("at", F.monotonically_increasing_id()), "vocabulary")
+def _written(rows: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``rows`` as a table of their own, and its path, to be removed once it is used."""
+    path = new_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def _numbered(counts: DataFrame) -> tuple[DataFrame, str]:
+    """Adds dense numbers ``id`` from 0, in the order of partitions; only the partitions' sizes are gathered. The table and its path."""
+    counts, path = _written(counts.withColumn("at", F.monotonically_increasing_id()), "vocabulary")
     part = F.shiftright("at", 33)
     sizes = counts.groupBy(part.alias("part")).count().orderBy("part").collect()
     start, starts = 0, []
@@ -172,7 +179,9 @@ def _numbered(counts: DataFrame) -> DataFrame:
         start += row["count"]
     place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     offset = F.create_map(*starts)[part] if starts else F.lit(0)
-    return counts.select("word", "c", (place + offset).cast("long").alias("id"))
+    found = _written(counts.select("word", "c", (place + offset).cast("long").alias("id")), "words")
+    discard(counts.sparkSession, path)
+    return found
 
 
 def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", order: int = 2) -> DataFrame:
@@ -202,7 +211,7 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
         yield counted(own)
 
     counts = rows.where(~F.col("held_out")).select("text").mapInArrow(count, "word string, c long")
-    vocabulary = materialize(_numbered(counts.groupBy("word").agg(F.sum("c").alias("c"))), "words")
+    vocabulary, path = _numbered(counts.groupBy("word").agg(F.sum("c").alias("c")))
     total, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     high, low = F.shiftright("c", 31).cast("int"), F.col("c").bitwiseAND(F.lit(2**31 - 1)).cast("int")
     shards = stored(vocabulary.select(F.xxhash64("word").alias("key"), "word", F.array(F.col("id").cast("int"), high, low).alias("ids"))) if size else []
@@ -234,6 +243,9 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
     levels: list[Level] = []
     if size:
         words = _by_number(vocabulary.select("id", F.col("c").cast("double")), "word-counts")
+        # The model needs neither the words' table nor their dictionary: what is no longer read makes room for the levels.
+        discard(spark, path)
+        discard(spark, shards[0][2].rpartition("/")[0])
         for _ in range(order - 1):
             release(spark)
             levels.append(_level(coded, levels, size, total))
@@ -260,6 +272,24 @@ def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy().astype(np.int64), np.r_[0, np.cumsum(lists.value_lengths().to_numpy().astype(np.int64))]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by their bytes, all lowest ones first: the upper ones of small numbers are zeros, which compression takes away."""
+    return np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rising distinct sequences and their counts, of several such tables."""
+    gram, c = map(np.concatenate, zip(*parts))
+    order = np.argsort(gram, kind="stable")
+    gram, c = gram[order], c[order]
+    new = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    return gram[new], np.add.reduceat(c, new)
+
+
 class Level:
     """Sequences of one length: for a context (a number of the level above) and a word, their number, share and the context's weight."""
 
@@ -349,8 +379,11 @@ def _level(coded: DataFrame, above: list[Level], size: int, total: int) -> Level
 
     def counted(grams: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         found, c = np.unique(np.concatenate(grams), return_counts=True)
-        for at in range(0, len(found), _CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array(found[at : at + _CHUNK]), pa.array(c[at : at + _CHUNK].astype(np.int64))], ["gram", "c"])
+        which = found // size // width
+        cuts = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (np.arange(1, len(found)) % _CHUNK == 0)])
+        for at, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(found)]):
+            row = [which[at]], [_packed(np.diff(found[at:end], prepend=0))], [_packed(c[at:end])]
+            yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), *(pa.array(x, pa.binary()) for x in row[1:])], ["shard", "gram", "c"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, n = [], 0
@@ -363,25 +396,26 @@ def _level(coded: DataFrame, above: list[Level], size: int, total: int) -> Level
                 if n >= _GATHERED:
                     yield from counted(grams)
                     grams, n = [], 0
-        if grams:
+        if n:
             yield from counted(grams)
 
     # A context's partial counts, from all tasks, go to the one task that adds them up and writes them.
-    partial = coded.where(~F.col("held_out")).select("ids").mapInArrow(count, "gram long, c long")
-    ranged = partial.repartitionById(shards, F.expr(f"int(gram div {size}L div {width}L)")).sortWithinPartitions("gram")
+    partial = coded.where(~F.col("held_out")).select("ids").mapInArrow(count, "shard int, gram binary, c binary")
+    ranged = partial.repartitionById(shards, F.col("shard"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            gram, c = batch.column("gram").to_numpy(), batch.column("c").to_numpy()
-            if len(gram):
-                if kept:  # The last one may go on here.
-                    last, kept[-1] = kept[-1], (kept[-1][0][:-1], kept[-1][1][:-1])
-                    gram, c = np.r_[last[0][-1], gram], np.r_[last[1][-1], c]
-                new = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-                kept.append((gram[new], np.add.reduceat(c, new)))
+        held, most = 0, _GATHERED
+        for grams, counts in rows_of(batches, "gram", "c"):
+            for gram, c in zip(grams, counts):
+                kept.append((np.cumsum(_unpacked(gram)), _unpacked(c)))
+                held += len(kept[-1][0])
+                if held > most:
+                    kept = [_summed(kept)]
+                    held = len(kept[0][0])
+                    most = max(_GATHERED, 2 * held)
         if kept:
-            shard = Level.written(folder, *map(np.concatenate, zip(*kept)), size)
+            shard = Level.written(folder, *_summed(kept), size)
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in shard], ["first", "last", "bits", "n", "sizes", "name"])
 
     found = ranged.mapInArrow(write, "first long, last long, bits long, n long, sizes array<long>, name string").collect()
