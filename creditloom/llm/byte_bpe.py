@@ -253,6 +253,29 @@ class Dictionary:
         return out
 
 
+    def table(self, words: list[bytes], width: int) -> np.ndarray:
+        """The ids of each word, ``width`` of them in a row; -1 for words that are not there."""
+        out = np.full((len(words), width), -1, np.int64)
+        if not self._paths or not words:
+            return out
+        keys = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in words), np.uint64, len(words)).view(np.int64)
+        order = np.argsort(keys)
+        keys, asked = keys[order], pa.array(words, pa.binary()).take(pa.array(order))
+        low = np.searchsorted(self._lasts, keys, "left")
+        for n in np.unique(low[low < len(self._paths)]).tolist():
+            start, end = np.searchsorted(low, [n, n + 1]).tolist()
+            own, names, offsets, values = self._shard(n)
+            inside = np.minimum(np.searchsorted(own, keys[start:end]), len(own) - 1)
+            hit = own[inside] == keys[start:end]
+            same = hit & pc.equal(names.take(pa.array(inside)).cast(pa.binary()), asked.slice(start, end - start)).to_numpy(zero_copy_only=False)
+            out[order[start:end][same]] = values[offsets[inside[same]][:, None] + np.arange(width)]
+            for i in order[start:end][hit & ~same].tolist():  # not the first of its key
+                found = self([words[i].decode()], missing=True)[0]
+                if found is not None:
+                    out[i] = found
+        return out
+
+
 class Remembered:
     """Ids of the words met so far, one after the other in ``pool``; starts anew beyond a number of words."""
 

@@ -19,6 +19,7 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ _SHARD = 3_000_000
 _GATHERED = 4_000_000
 #: Words that a task remembers.
 _REMEMBERED = 400_000
+#: A number in each byte of a word of 64 bits.
+_BYTES = np.uint64(0x0101010101010101)
 _SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64)
 
 
@@ -96,19 +99,21 @@ class EliasFano:
     def _zero(self, j: np.ndarray) -> np.ndarray:
         """Place of the j-th zero of the unary part."""
         word = np.searchsorted(self._zeros, j, "right") - 1
-        left = j - self._zeros[word]
-        own = np.ascontiguousarray(~self._high[word]).view(np.uint8).reshape(-1, 8)
-        sums = np.cumsum(np.bitwise_count(own), axis=1, dtype=np.int64)
-        byte = (sums <= left[:, None]).sum(axis=1)
-        rows = np.arange(len(j))
-        left = left - np.where(byte > 0, sums[rows, byte - 1], 0)
-        return word * 64 + byte * 8 + _SELECT[own[rows, byte], left]
+        left = (j - self._zeros[word]).astype(np.uint64)
+        own = ~self._high[word]
+        # In each byte the bits of it and the lower ones; the byte wanted comes behind those that hold no more than what is left.
+        sums = np.ascontiguousarray(np.bitwise_count(own.view(np.uint8))).view(np.uint64) * _BYTES
+        high = _BYTES << np.uint64(7)
+        byte = np.bitwise_count((((left * _BYTES) | high) - sums) & high).astype(np.uint64) * np.uint64(8)
+        left -= ((sums << np.uint64(8)) >> byte) & np.uint64(255)
+        return word * 64 + byte.astype(np.int64) + _SELECT[(own >> byte) & np.uint64(255), left]
 
     def _lows(self, at: np.ndarray) -> np.ndarray:
         if not self._bits:
             return np.zeros(len(at), np.int64)
         bit = at * self._bits
-        parts = np.ascontiguousarray(self._low[(bit >> 3)[:, None] + np.arange(8)]).view(np.uint64).ravel()
+        # The eight bytes from each byte on, as a view.
+        parts = np.ndarray(len(self._low) - 7, np.uint64, np.ascontiguousarray(self._low), strides=(1,))[bit >> 3]
         return ((parts >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self._bits) - 1)).astype(np.int64)
 
     def find(self, values: np.ndarray) -> np.ndarray:
@@ -225,12 +230,14 @@ def scored(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
             lists = [[*words_of(t), END] for t in found]
             if len(known) > _REMEMBERED:
                 known, table = {}, table[:0]
-            new = list({w for words in lists for w in words if w not in known})
+            new = list(set(chain.from_iterable(lists)) - known.keys())
             known.update(zip(new, range(len(known), len(known) + len(new))))
-            entries = [(-1, 0) if e is None else (e[0], (int(e[1]) << 31) + int(e[2])) for e in look_up([w.decode() for w in new], missing=True)]
-            table = np.concatenate((table, np.array(entries, np.int64).reshape(-1, 2)))
+            entries = look_up.table(new, 3)
+            there = entries[:, 0] >= 0
+            entries = np.stack((entries[:, 0], np.where(there, (entries[:, 1] << 31) + entries[:, 2], 0)), axis=1)
+            table = np.concatenate((table, entries))
             ends = np.cumsum([0, *map(len, lists)])
-            at = np.fromiter((known[w] for words in lists for w in words), np.int64, ends[-1])
+            at = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), np.int64, ends[-1])
             c, starts = table[at, 1], ends[:-1]
             numbers = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(table[at, 0].astype(np.int32)))
             sure, base = (np.add.reduceat(x, starts) if len(starts) else x for x in ((c > 0).astype(np.int64), np.log10((c + 1) / floor)))
