@@ -81,6 +81,33 @@ def test_near_duplicates_are_those_of_all_pairs(docs):
         assert all(r.kept == (i == wanted[i]) for i, r in found.items())
 
 
+def test_copies_that_nearly_match_do_not_meet_all_with_all(spark, monkeypatch):
+    """400 texts of 90 common and 10 own words (0.818 alike, 0.85 is asked for), and two that are alike enough."""
+    common = " ".join(f"c{k}" for k in range(90))
+    rows = [(i, f"{common} " + " ".join(f"own{i}x{k}" for k in range(10))) for i in range(400)]
+    rows += [(400 + i, f"{common} " + " ".join(f"last{k + i}" for k in range(8))) for i in range(2)]
+    compared = []
+    kept = minhash_dedup.confirmed
+    monkeypatch.setattr(minhash_dedup, "confirmed", lambda pairs, *rest: (compared.append(pairs.count()), kept(pairs, *rest))[1])
+    found = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1, share=(85, 100)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: min(i, 400) for i in range(402)}
+    assert sum(compared) <= 100 * len(rows)
+
+
+@pytest.mark.parametrize("batch", [1, 2, 5, 100])
+def test_sets_with_other_neighbours_are_told_once(spark, batch):
+    keys = [b"aaaa", b"aaaa", b"bbbb", b"cccc", b"cccc", b"cccc", b"cccc", b"dddd", b"eeee", b"eeee", b"ffff", b"gggg"]
+    rows = [(0, bytearray(k * 10), bytearray(b"%02d" % i)) for i, k in enumerate(keys)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        found = minhash_dedup.closest(spark.createDataFrame(rows, "order int, key binary, node binary").coalesce(1), 4).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((int(r.a), int(r.b)) for r in found if r.a) == [(0, 1), (3, 4), (4, 5), (5, 6), (8, 9)]
+    assert sorted(int(r.node) for r in found if r.node) == [0, 1, 3, 4, 5, 6, 10, 11]  # three of a kind, and the ends
+
+
 def test_licence_phrases_are_counted_everywhere(docs):
     table = [(t.words, t.label) for t in license_scan.PHRASES]
     for r in license_scan.scan(docs).collect():
