@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom.llm import byte_bpe, decontamination, minhash_dedup, quality_rules, substring_dedup
+from creditloom.llm.common import release
 from creditloom.session import materialize
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -73,8 +74,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``, each written to the shared folder and read again."""
+    """All stages on ``documents``, each written to the shared folder and read again; shuffle files go with their stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark)
     return docs

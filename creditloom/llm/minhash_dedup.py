@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WordHashes, components, hashed, id_and_text, rows_of, shingles, words_of
+from .common import WordHashes, components, hashed, id_and_text, release, rows_of, shingles, words_of
 
 FUNCTIONS = 64
 ORDERS = 20
@@ -216,14 +216,18 @@ def near_duplicates(
     reps = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     signed = sets.where("node IS NOT NULL").select("node", "doc_id", "n_shingles", "signature")
     reps = materialize(signed.join(reps, ["node", "doc_id"]).dropDuplicates(["node"]), "signatures")
+    spark = docs.sparkSession
+    release(spark)
 
     # First the closest neighbours, which connect most of a group of copies; then wider ones among
     # what is still apart; last the widest, and in full the regions that are wider still.
     first = materialize(closest(_in_order(orders(reps.select("node", "signature"), n_orders)), depth), "closest")
+    release(spark)
     forest = first.where("node IS NOT NULL").select("order", "key", "node")
     forest = materialize(forest.join(reps.selectExpr("node", "n_shingles AS n", f"-((-n_shingles * {num}) div {den}) AS least"), "node"), "forest")
     tried = materialize(first.where("a IS NOT NULL").select("a", "b").distinct(), "pairs")
     links = materialize(confirmed(tried, _texts(tried, reps, docs, width), width, share), "links")
+    release(spark)
     roots = components(links, "roots")
     for distance in (max(1, reach // 4), reach):
         known = forest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -235,6 +239,7 @@ def near_duplicates(
             pairs = neighbours(_in_order(known), distance, depth).unionByName(_dense(dense, reps, docs, width, share))
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = materialize(confirmed(pairs, _texts(pairs, reps, docs, width), width, share), "links")
+        release(spark)
         tried = tried.unionByName(pairs)
         if links.limit(1).count():
             roots = components(roots.selectExpr("node AS a", "root AS b").unionByName(links), "roots")
